@@ -35,7 +35,7 @@ def settle(
 ) -> DataFrame:
     """``rows`` plus ``conserva``. ``seq`` is unique and gives the order; ``stored`` comes first."""
     key = F.to_json(F.struct(*natural_key)).alias("clave")
-    arrivals = rows.select("seq", F.col(account).alias("cuenta"), key)
+    arrivals = cut(rows.select("seq", F.col(account).alias("cuenta"), key), "arrivals")
     held = None if stored is None else stored.select(F.col(account).alias("cuenta"), key)
     turned_away = _turned_away(arrivals, held, replay_rows)
     if turned_away is None:
@@ -50,27 +50,29 @@ def _turned_away(arrivals: DataFrame, held: DataFrame | None, replay_rows: int |
     pairs = arrivals.select(*_HELD)
     if held is not None:
         pairs = pairs.unionByName(held)
+    # Eight bytes per key go through the big shuffle. Keys whose hashes collide only add keys of
+    # one account to the few that go on, and those connect nothing.
+    pairs = pairs.withColumn("_hash", F.xxhash64("clave"))
     shared = (
-        pairs.groupBy("clave")
+        pairs.groupBy("_hash")
         .agg(F.min("cuenta").alias("_a"), F.max("cuenta").alias("_b"))
         .where(F.col("_a") < F.col("_b"))
-        .select("clave")
+        .select("_hash")
     )
-    edges = cut(pairs.distinct().join(shared, "clave", "left_semi"), "shared-keys")
+    edges = cut(pairs.join(shared, "_hash", "left_semi").select(*_HELD).distinct(), "shared-keys")
     if edges.isEmpty():
         return None
     groups = components(edges, "cuenta", "clave")
     disputed = cut(arrivals.join(groups, "cuenta"), "disputed")
     start = None if held is None else cut(held.join(groups, "cuenta"), "held")
     out = fresh_path(arrivals.sparkSession, "turned-away")
-    if replay_rows is not None:
-        large = disputed.groupBy("grupo").count().where(F.col("count") > replay_rows).select("grupo")
+    large = disputed.groupBy("grupo").count().where(F.col("count") > replay_rows).select("grupo") if replay_rows else None
+    if large is not None and not large.isEmpty():
         large = cut(large, "large-groups")
-        if not large.isEmpty():
-            of_large = None if start is None else start.join(large, "grupo", "left_semi").select(*_HELD)
-            _slices(disputed.join(large, "grupo", "left_semi").select(*_ROWS), of_large, replay_rows, out)
-            disputed = disputed.join(large, "grupo", "left_anti")
-            start = None if start is None else start.join(large, "grupo", "left_anti")
+        of_large = None if start is None else start.join(large, "grupo", "left_semi").select(*_HELD)
+        _slices(disputed.join(large, "grupo", "left_semi").select(*_ROWS), of_large, replay_rows, out)
+        disputed = disputed.join(large, "grupo", "left_anti")
+        start = None if start is None else start.join(large, "grupo", "left_anti")
     replay(disputed, start).write.mode("append").parquet(out)
     return arrivals.sparkSession.read.schema("seq long").parquet(out)
 

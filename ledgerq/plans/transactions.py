@@ -137,6 +137,12 @@ def transaction_summary(validated: DataFrame) -> DataFrame:
     )
 
 
+def count_by_anomaly(validated: DataFrame) -> DataFrame:
+    """Rows of the detail table by anomaly flag, without carrying its texts through the shuffle."""
+    kept = _by_natural_key(accepted(validated)).agg(F.min_by("es_anomalia", "seq").alias("es_anomalia"))
+    return kept.groupBy("es_anomalia").agg(F.count(F.lit(1)).alias("filas"))
+
+
 def transaction_metrics(validated: DataFrame) -> DataFrame:
     """Step counters in one shuffle, duplicates counted as write-phase skips."""
     groups = _by_natural_key(validated).agg(F.count(F.lit(1)).alias("_n"))

@@ -19,6 +19,9 @@ OPTIONS = {
     "ignoreTrailingWhiteSpace": "true",
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
+    # With pruning a line is only cut up to the columns asked for, and one that is too short or
+    # too long would pass unnoticed in a query that asks for few.
+    "columnPruning": "false",
 }
 # Where a row's file split starts; ``number_rows`` turns it into a row number.
 FILE_POSITION = ("_metadata.file_path AS _file", "_metadata.file_block_start AS _block")
