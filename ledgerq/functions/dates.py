@@ -16,36 +16,40 @@ LAYOUTS = {"iso": "yyyy-MM-dd", "ymd_slash": "yyyy/MM/dd", "dmy_dash": "dd-MM-yy
 
 def date_layout(text: Column) -> Column:
     """Which layout the text is written in, null when none fits."""
-    dashed = F.contains(text, F.lit("-"))
-    return F.when(
-        text.rlike(YEAR_FIRST), F.when(dashed, LAYOUTS["iso"]).otherwise(LAYOUTS["ymd_slash"])
-    ).when(text.rlike(DAY_FIRST), F.when(dashed, LAYOUTS["dmy_dash"]).otherwise(LAYOUTS["dmy_slash"]))
+    # The fifth character tells which of the two patterns can fit, so one regex runs per row.
+    fifth = F.substring(text, 5, 1)
+    return (
+        F.when(fifth.isin("-", "/"), F.when(text.rlike(YEAR_FIRST), _by_separator(fifth, "iso", "ymd_slash")))
+        .when(text.rlike(DAY_FIRST), _by_separator(F.substring(text, 3, 1), "dmy_dash", "dmy_slash"))
+    )
 
 
-def lenient_date(text: Column, layout: Column) -> Column:
-    """The date, with a day past the end of its month moved to the last day of that month.
-
-    Year 0, month 13 and day 32 give null. Every part is nulled before ``make_date`` sees it, so
-    the expression cannot throw under ANSI mode whatever the evaluation order.
-    """
-    year_first = layout.isin(LAYOUTS["iso"], LAYOUTS["ymd_slash"])
-
-    def part(first: tuple[int, int], last: tuple[int, int], low: int, high: int) -> Column:
-        digits = F.when(year_first, F.substring(text, *first)).when(
-            layout.isNotNull(), F.substring(text, *last)
-        )
-        number = digits.try_cast("int")
-        return F.when(number.between(low, high), number)
-
-    year = part((1, 4), (7, 4), 1, 9999)
-    month = part((6, 2), (4, 2), 1, 12)
-    day = part((9, 2), (1, 2), 1, 31)
-    month_end = F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1))))
-    return F.make_date(year, month, F.when(day.isNotNull() & month_end.isNotNull(), F.least(day, month_end)))
+def _by_separator(separator: Column, dashed: str, slashed: str) -> Column:
+    return F.when(separator == "-", LAYOUTS[dashed]).otherwise(LAYOUTS[slashed])
 
 
 def with_date(df: DataFrame, source: str, target: str = "fecha_ok", layout: str = "formato_fecha") -> DataFrame:
-    """Add the parsed date and its layout. Two steps, so that each regex runs once per row."""
-    return df.withColumn(layout, date_layout(clean(F.col(source)))).withColumn(
-        target, lenient_date(clean(F.col(source)), F.col(layout))
+    """Add the parsed date and its layout.
+
+    A day past the end of its month moves to the last day of that month; year 0, month 13 and day
+    32 give null. Each step is a projection of its own, so that what it computes is computed once
+    per row, and every part is nulled before ``make_date`` sees it: nothing here can throw.
+    """
+    text, year_first = F.col("_fecha"), F.col(layout).isin(LAYOUTS["iso"], LAYOUTS["ymd_slash"])
+
+    def part(in_year_first: int, in_day_first: int, size: int) -> Column:
+        start = F.when(year_first, in_year_first).when(F.col(layout).isNotNull(), in_day_first)
+        return F.substring(text, start, F.lit(size)).try_cast("int")
+
+    year, month, day = F.col("_y"), F.col("_m"), F.col("_d")
+    real = year.between(1, 9999) & month.between(1, 12) & day.between(1, 31)
+    last = F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1))))
+    return (
+        df.withColumn("_fecha", clean(F.col(source)))
+        .withColumn(layout, date_layout(text))
+        .withColumns({"_y": part(1, 7, 4), "_m": part(6, 4, 2), "_d": part(9, 1, 2)})
+        .withColumns({name: F.when(real, F.col(name)) for name in ("_y", "_m", "_d")})
+        .withColumn("_d", F.when(day > 28, F.least(day, last)).otherwise(day))
+        .withColumn(target, F.make_date(year, month, day))
+        .drop("_y", "_m", "_d", "_fecha")
     )

@@ -31,17 +31,17 @@ def limit_rules(limits: Sequence[Limit], columns: Mapping[str, Column] | None =
         value = (columns or {}).get(limit.column, F.col(limit.column))
         name = limit.column
         if limit.required:
-            rules.append(Rule(f"nulo:{name}", value.isNull(), F.lit(f"{name} no admite nulos"), WRITE))
+            rules.append(Rule(f"nulo:{name}", value.isNull(), f"{name} no admite nulos", phase=WRITE))
         if limit.max_length is not None:
             size = limit.max_length
             rules.append(
-                Rule(f"largo:{name}", F.length(value) > size, F.lit(f"{name} excede {size} caracteres"), WRITE)
+                Rule(f"largo:{name}", F.length(value) > size, f"{name} excede {size} caracteres", phase=WRITE)
             )
         if limit.precision is not None:
             digits, scale = limit.precision
             too_large = F.abs(F.round(value, scale)) >= F.lit(10 ** (digits - scale))
             rules.append(
-                Rule(f"precision:{name}", too_large, F.lit(f"{name} excede numeric({digits},{scale})"), WRITE)
+                Rule(f"precision:{name}", too_large, f"{name} excede numeric({digits},{scale})", phase=WRITE)
             )
     return rules
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,40 +16,60 @@ REJECT_COLUMNS = ("reject_phase", "reject_code", "reject_reason")
 
 @dataclass(frozen=True)
 class Rule:
-    """``broken`` is true for a row to reject; null counts as not broken."""
+    """``broken`` is true for a row to reject; null counts as not broken.
+
+    ``reason`` may hold one ``%s``, which stands for ``value``; with ``named`` the row's subject
+    goes in front.
+    """
 
     code: str
     broken: Column
-    reason: Column
+    reason: str
+    value: Column | None = None
     phase: str = PROCESS
+    named: bool = False
 
 
-def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def validate(df: DataFrame, rules: Sequence[Rule], subject: Column | None = None) -> DataFrame:
     """Add the reject columns of the first broken rule. Accepted means ``reject_code IS NULL``.
 
-    The ladder runs once per row, into the position of the rule that broke; phase, code and
-    reason are then looked up by that position. It is a narrow projection, no row is dropped.
+    The ladder runs once per row, into the position of the rule that broke; the rest is looked up
+    by that position in constant arrays. That keeps the generated code below the size at which
+    the JVM stops compiling it. It is a narrow projection, no row is dropped.
 
-    The row counter in the last branch never yields a value. A column with it cannot be copied
-    into filters, which keeps the optimizer from repeating the ladder, regexes and all, once per
-    rule when a later step asks for ``reject_code IS NULL``.
+    The row counter never yields a value. A column with it cannot be copied into filters, which
+    keeps the optimizer from repeating the ladder, regexes and all, once per rule when a later
+    step asks for ``reject_code IS NULL``.
     """
     nothing = F.when(F.monotonically_increasing_id() < 0, 0)
-    ladder = F.lit(None).cast("int")
-    phase, code, reason = (F.lit(None).cast("string") for _ in range(3))
-    for position, rule in reversed(list(enumerate(rules))):
-        ladder = F.when(rule.broken, position).otherwise(ladder)
-        hit = F.col("_rule") == position
-        phase = F.when(hit, F.lit(rule.phase)).otherwise(phase)
-        code = F.when(hit, F.lit(rule.code)).otherwise(code)
-        reason = F.when(hit, rule.reason).otherwise(reason)
+    ladder = reduce(lambda chain, at: chain.when(at[1].broken, at[0]), enumerate(rules), F)
+    valued = [(i, rule.value) for i, rule in enumerate(rules) if rule.value is not None]
+    value = reduce(lambda chain, at: chain.when(F.col("_rule") == at[0], at[1]), valued, F)
+    value = value.otherwise("") if valued else F.lit("")
+    before, after = zip(*(rule.reason.partition("%s")[::2] for rule in rules))
+    phase, code, reason = REJECT_COLUMNS
+    who = F.lit("")
+    if subject is not None:
+        named = [i for i, rule in enumerate(rules) if rule.named]
+        who = F.when(F.col("_rule").isin(named), subject).otherwise(who)
     return (
-        df.withColumn("_rule", F.coalesce(ladder, nothing))
-        .withColumns(dict(zip(REJECT_COLUMNS, (phase, code, reason))))
+        df.withColumn("_rule", ladder.otherwise(nothing))
+        .withColumns(
+            {
+                phase: _pick([rule.phase for rule in rules]),
+                code: _pick([rule.code for rule in rules]),
+                reason: F.when(F.col("_rule").isNotNull(), F.concat(who, _pick(before), value, _pick(after))),
+            }
+        )
         .drop("_rule")
     )
 
 
+def _pick(values: Sequence[str]) -> Column:
+    """The value at the position of the broken rule, null when none broke."""
+    return F.get(F.array(*(F.lit(v) for v in values)), F.col("_rule"))
+
+
 def accepted(validated: DataFrame) -> DataFrame:
     return validated.where(F.col("reject_code").isNull())
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerq.functions.numbers import RATE, is_decimal, money, money_round, sign_of, strict_int, wide_decimal
@@ -32,51 +32,55 @@ TAKEN = "clave natural (nombre, saldo_inicial, edad, tipo) en uso por otra cuent
 
 def validate_interest(raw: DataFrame) -> DataFrame:
     """Raw rows plus typed columns, interest and reject columns. One narrow pass."""
-    saldo, edad = clean(F.col("saldo")), clean(F.col("edad"))
     rates = F.create_map(*chain(*((F.lit(t), F.lit(r).cast(RATE)) for t, r in ACCOUNT_RATES.items())))
+    saldo, edad, tipo = F.col("_saldo"), F.col("_edad"), F.col("_tipo")
     typed = (
-        raw.withColumns(
+        raw.withColumns({f"_{c}": clean(F.col(c)) for c in ("saldo", "edad", "tipo")})
+        .withColumns(
             {
                 "nombre_ok": clean(F.col("nombre")),
-                "tipo_ok": F.lower(clean(F.col("tipo"))),
+                "tipo_ok": F.lower(tipo),
                 "edad_ok": strict_int(edad),
-                "_saldo": wide_decimal(saldo),
+                "_exacto": wide_decimal(saldo),
                 "saldo_inicial": money(saldo),
             }
         )
-        .withColumns({"_signo": sign_of(saldo, F.col("_saldo")), "tasa_interes_mensual": rates[F.col("tipo_ok")]})
+        .withColumns({"_signo": sign_of(saldo, F.col("_exacto")), "tasa_interes_mensual": rates[F.col("tipo_ok")]})
         # WIDE x RATE is decimal(38,22): the product is exact and is rounded once.
-        .withColumn("interes_calculado", money_round(F.col("_saldo") * F.col("tasa_interes_mensual")))
-        .withColumn("saldo_final", money_round(F.col("_saldo") + F.col("interes_calculado")))
+        .withColumn("interes_calculado", money_round(F.col("_exacto") * F.col("tasa_interes_mensual")))
+        .withColumn("saldo_final", money_round(F.col("_exacto") + F.col("interes_calculado")))
     )
-    who = F.concat(F.lit("Cuenta "), F.coalesce(F.col("cuenta_id").cast("string"), F.lit("null")), F.lit(": "))
     low, high = AGE_RANGE
-
-    def says(*parts) -> Column:
-        return F.concat(who, *(F.lit(p) if isinstance(p, str) else p for p in parts))
-
+    age_range = f"edad fuera de rango permitido [{low}-{high}] (valor=%s)"
     ladder = [
         *malformed_rule(raw),
         Rule(
             "tipo_no_soportado",
             ~F.col("tipo_ok").isin(*ACCOUNT_RATES),
-            says("tipo de cuenta no soportado ('", clean(F.col("tipo")), "')"),
+            "tipo de cuenta no soportado ('%s')",
+            tipo,
+            named=True,
         ),
-        Rule("edad_vacia", is_blank(F.col("edad")), says("edad vacia o nula")),
-        Rule("edad_no_numerica", F.col("edad_ok").isNull(), says("edad no numerica ('", edad, "')")),
+        Rule("edad_vacia", F.col("edad_ok").isNull() & is_blank(F.col("edad")), "edad vacia o nula", named=True),
+        Rule("edad_no_numerica", F.col("edad_ok").isNull(), "edad no numerica ('%s')", edad, named=True),
         Rule(
             "edad_fuera_de_rango",
             ~F.col("edad_ok").between(low, high),
-            says(f"edad fuera de rango permitido [{low}-{high}] (valor=", F.col("edad_ok").cast("string"), ")"),
+            age_range,
+            F.col("edad_ok").cast("string"),
+            named=True,
         ),
-        Rule("saldo_vacio", is_blank(F.col("saldo")), says("saldo vacio o nulo")),
-        Rule("saldo_no_numerico", ~is_decimal(saldo, F.col("_saldo")), says("saldo no numerico ('", saldo, "')")),
-        Rule("saldo_negativo", F.col("_signo") < 0, says("saldo negativo no permitido (", saldo, ")")),
+        Rule("saldo_vacio", F.col("_exacto").isNull() & is_blank(F.col("saldo")), "saldo vacio o nulo", named=True),
+        Rule("saldo_no_numerico", ~is_decimal(saldo, F.col("_exacto")), "saldo no numerico ('%s')", saldo, named=True),
+        Rule("saldo_negativo", F.col("_signo") < 0, "saldo negativo no permitido (%s)", saldo, named=True),
         *limit_rules([x for x in INT_LIMITS if x.precision is None], {"nombre": F.col("nombre_ok")}),
-        Rule("precision:saldo_inicial", F.col("saldo_inicial").isNull(), F.lit("saldo_inicial excede numeric(15,2)"), WRITE),
-        Rule("precision:saldo_final", F.col("saldo_final").isNull(), F.lit("saldo_final excede numeric(15,2)"), WRITE),
+        *(
+            Rule(f"precision:{c}", F.col(c).isNull(), f"{c} excede numeric(15,2)", phase=WRITE)
+            for c in ("saldo_inicial", "saldo_final")
+        ),
     ]
-    return validate(typed, ladder).drop("_saldo", "_signo", CORRUPT)
+    who = F.format_string("Cuenta %s: ", F.col("cuenta_id").cast("string"))
+    return validate(typed, ladder, who).drop("_saldo", "_edad", "_tipo", "_exacto", "_signo", CORRUPT)
 
 
 def calculated_interest(validated: DataFrame) -> DataFrame:

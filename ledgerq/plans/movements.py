@@ -24,55 +24,59 @@ from ledgerq.sources.delimited import malformed_rule
 
 RAW = MOV_INPUT.names
 # Fixed value: reason text.
-SIGN_FIXED = "signo de monto corregido automaticamente (no correspondia al tipo de movimiento '%s')"
+SIGN_FIXED = ("signo de monto corregido automaticamente (no correspondia al tipo de movimiento '", "')")
 
 
 def validate_movements(raw: DataFrame) -> DataFrame:
     """Raw rows plus typed and corrected columns plus reject columns. One narrow pass."""
-    monto = clean(F.col("monto"))
+    monto, tipo = F.col("_monto"), F.col("_tipo")
     typed = (
         with_date(raw, "fecha")
-        .withColumns(
-            {"_monto": wide_decimal(monto), "tipo_movimiento": fold_accents(F.lower(clean(F.col("transaccion"))))}
-        )
-        .withColumn("_signo", sign_of(monto, F.col("_monto")))
+        .withColumns({f"_{c}": clean(F.col(n)) for c, n in (("monto", "monto"), ("tipo", "transaccion"), ("texto", "descripcion"))})
+        .withColumns({"_exacto": wide_decimal(monto), "tipo_movimiento": fold_accents(F.lower(tipo))})
+        .withColumn("_signo", sign_of(monto, F.col("_exacto")))
     )
     wrong_sign = F.when(F.col("tipo_movimiento") == "deposito", F.col("_signo") < 0).otherwise(F.col("_signo") > 0)
     typed = typed.withColumns(
         {
             "es_anomalia": wrong_sign,
-            "monto_ok": F.when(wrong_sign, -money(monto)).otherwise(money(monto)).cast(MONEY),
-            "motivo_anomalia": F.when(wrong_sign, F.format_string(SIGN_FIXED, F.col("tipo_movimiento"))),
-            "descripcion_ok": F.when(is_blank(F.col("descripcion")), NO_DESCRIPTION).otherwise(
-                clean(F.col("descripcion"))
+            "_al_guardar": money(monto),
+            "descripcion_ok": F.when(is_blank(F.col("_texto")), NO_DESCRIPTION).otherwise(F.col("_texto")),
+        }
+    ).withColumns(
+        {
+            "monto_ok": F.when(F.col("es_anomalia"), -F.col("_al_guardar")).otherwise(F.col("_al_guardar")).cast(MONEY),
+            "motivo_anomalia": F.when(
+                F.col("es_anomalia"), F.concat(F.lit(SIGN_FIXED[0]), F.col("tipo_movimiento"), F.lit(SIGN_FIXED[1]))
             ),
         }
     )
-    who = F.concat(F.lit("Cuenta "), F.coalesce(F.col("cuenta_id").cast("string"), F.lit("null")), F.lit(": "))
-
-    def says(*parts) -> Column:
-        return F.concat(who, *(F.lit(p) if isinstance(p, str) else p for p in parts))
-
-    no_date = F.concat(F.lit("Formato de fecha no reconocido: '"), clean(F.col("fecha")), F.lit("'"))
+    # A blank never parses, so the blank tests only look at what did not.
+    no_date, no_amount = F.col("fecha_ok").isNull(), F.col("_exacto").isNull()
     ladder = [
         *malformed_rule(raw),
-        Rule("fecha_vacia", is_blank(F.col("fecha")), F.lit("Fecha vacia o nula")),
-        Rule("fecha_invalida", F.col("fecha_ok").isNull(), no_date),
+        Rule("fecha_vacia", no_date & is_blank(F.col("fecha")), "Fecha vacia o nula"),
+        Rule("fecha_invalida", no_date, "Formato de fecha no reconocido: '%s'", clean(F.col("fecha"))),
         Rule(
             "tipo_no_reconocido",
             ~F.col("tipo_movimiento").isin(*MOVEMENT_TYPES),
-            says("tipo de movimiento no reconocido ('", clean(F.col("transaccion")), "')"),
+            "tipo de movimiento no reconocido ('%s')",
+            tipo,
+            named=True,
+        ),
+        Rule("monto_vacio", no_amount & is_blank(F.col("monto")), "monto vacio o nulo", named=True),
+        Rule(
+            "monto_no_numerico", ~is_decimal(monto, F.col("_exacto")), "monto no numerico ('%s')", monto, named=True
         ),
-        Rule("monto_vacio", is_blank(F.col("monto")), says("monto vacio o nulo")),
-        Rule("monto_no_numerico", ~is_decimal(monto, F.col("_monto")), says("monto no numerico ('", monto, "')")),
-        Rule("monto_cero", F.col("_signo") == 0, says("movimiento con monto en cero, no se puede clasificar")),
-        Rule("precision:monto", F.col("monto_ok").isNull(), F.lit("monto excede numeric(15,2)"), WRITE),
+        Rule("monto_cero", F.col("_signo") == 0, "movimiento con monto en cero, no se puede clasificar", named=True),
+        Rule("precision:monto", F.col("monto_ok").isNull(), "monto excede numeric(15,2)", phase=WRITE),
         *limit_rules(
             [x for x in MOV_LIMITS if x.column in ("cuenta_id", "descripcion")],
             {"descripcion": F.col("descripcion_ok")},
         ),
     ]
-    return validate(typed, ladder).drop("_monto", "_signo", CORRUPT)
+    who = F.format_string("Cuenta %s: ", F.col("cuenta_id").cast("string"))
+    return validate(typed, ladder, who).drop("_monto", "_tipo", "_texto", "_exacto", "_signo", "_al_guardar", CORRUPT)
 
 
 def accepted_movements(validated: DataFrame) -> DataFrame:

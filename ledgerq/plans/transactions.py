@@ -17,46 +17,47 @@ from ledgerq.sources.delimited import malformed_rule
 
 RAW = TX_INPUT.names
 # Reason texts.
-BAD_TYPE = "tipo de transaccion no reconocido ('%s')"
+BAD_TYPE = ("tipo de transaccion no reconocido ('", "')")
 NEGATIVE, ZERO = "monto negativo", "monto en cero"
 DUPLICATE = "clave natural duplicada (fecha, monto, tipo); se conserva el orden %s"
 
 
 def validate_transactions(raw: DataFrame) -> DataFrame:
     """Raw rows plus typed columns plus reject columns. One narrow pass, no row dropped."""
-    monto, tipo = clean(F.col("monto")), clean(F.col("tipo"))
     typed = (
         with_date(raw, "fecha")
-        .withColumns({"_monto": wide_decimal(monto), "tipo_ok": F.upper(tipo)})
-        .withColumn("_signo", sign_of(monto, F.col("_monto")))
+        .withColumns({"_monto": clean(F.col("monto")), "_tipo": clean(F.col("tipo"))})
+        .withColumns({"_exacto": wide_decimal(F.col("_monto")), "tipo_ok": F.upper("_tipo")})
+        .withColumn("_signo", sign_of(F.col("_monto"), F.col("_exacto")))
     )
-    bad_type = F.when(~F.col("tipo_ok").isin(*TX_TYPES), F.format_string(BAD_TYPE, tipo))
+    monto, tipo = F.col("_monto"), F.col("_tipo")
+    bad_type = F.when(~F.col("tipo_ok").isin(*TX_TYPES), F.concat(F.lit(BAD_TYPE[0]), tipo, F.lit(BAD_TYPE[1])))
     bad_sign = F.when(F.col("_signo") < 0, NEGATIVE).when(F.col("_signo") == 0, ZERO)
     typed = typed.withColumns(
         {
             "motivo_anomalia": F.nullif(F.concat_ws("; ", bad_type, bad_sign), F.lit("")),
-            "tipo_ok": F.when(is_blank(F.col("tipo")), TX_UNKNOWN).otherwise(F.col("tipo_ok")),
+            "tipo_ok": F.when(bad_type.isNotNull() & is_blank(tipo), TX_UNKNOWN).otherwise(F.col("tipo_ok")),
             "monto_ok": money(monto),
         }
     ).withColumn("es_anomalia", F.col("motivo_anomalia").isNotNull())
-    who = F.concat(F.lit("Transaccion id="), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit(": "))
-    no_date = F.concat(F.lit("Formato de fecha no reconocido: '"), clean(F.col("fecha")), F.lit("'"))
-    stored = {"id_origen": F.col("id"), "tipo": F.col("tipo_ok")}
-    limits = limit_rules([x for x in TX_LIMITS if x.column != "monto"], stored)
+    who = F.format_string("Transaccion id=%s: ", F.col("id").cast("string"))
+    limits = limit_rules(
+        [x for x in TX_LIMITS if x.column != "monto"], {"id_origen": F.col("id"), "tipo": F.col("tipo_ok")}
+    )
+    # A blank never parses, so the blank tests only look at what did not.
+    no_date, no_amount = F.col("fecha_ok").isNull(), F.col("_exacto").isNull()
     ladder = [
         *malformed_rule(raw),
-        Rule("fecha_vacia", is_blank(F.col("fecha")), F.lit("Fecha vacia o nula")),
-        Rule("fecha_invalida", F.col("fecha_ok").isNull(), no_date),
-        Rule("monto_vacio", is_blank(F.col("monto")), F.concat(who, F.lit("monto vacio o nulo, no se puede procesar"))),
+        Rule("fecha_vacia", no_date & is_blank(F.col("fecha")), "Fecha vacia o nula"),
+        Rule("fecha_invalida", no_date, "Formato de fecha no reconocido: '%s'", clean(F.col("fecha"))),
+        Rule("monto_vacio", no_amount & is_blank(F.col("monto")), "monto vacio o nulo, no se puede procesar", named=True),
         Rule(
-            "monto_no_numerico",
-            ~is_decimal(monto, F.col("_monto")),
-            F.concat(who, F.lit("monto no numerico ('"), monto, F.lit("')")),
+            "monto_no_numerico", ~is_decimal(monto, F.col("_exacto")), "monto no numerico ('%s')", monto, named=True
         ),
-        Rule("precision:monto", F.col("monto_ok").isNull(), F.lit("monto excede numeric(15,2)"), WRITE),
+        Rule("precision:monto", F.col("monto_ok").isNull(), "monto excede numeric(15,2)", phase=WRITE),
         *limits,
     ]
-    return validate(typed, ladder).drop("_monto", "_signo", CORRUPT)
+    return validate(typed, ladder, who).drop("_monto", "_tipo", "_exacto", "_signo", CORRUPT)
 
 
 def accepted_transactions(validated: DataFrame) -> DataFrame:

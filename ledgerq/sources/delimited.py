@@ -64,5 +64,5 @@ def malformed_rule(df: DataFrame) -> list[Rule]:
     """The read-phase rule, for frames that come from a scan."""
     if CORRUPT not in df.columns:
         return []
-    reason = F.concat(F.lit("linea con formato incorrecto: "), F.col(CORRUPT))
-    return [Rule("linea_malformada", F.col(CORRUPT).isNotNull(), reason, READ)]
+    line = F.col(CORRUPT)
+    return [Rule("linea_malformada", line.isNotNull(), "linea con formato incorrecto: %s", line, READ)]
