@@ -53,12 +53,9 @@ def _turned_away(arrivals: DataFrame, held: DataFrame | None, replay_rows: int |
     # Eight bytes per key go through the big shuffle. Keys whose hashes collide only add keys of
     # one account to the few that go on, and those connect nothing.
     pairs = pairs.withColumn("_hash", F.xxhash64("clave"))
-    shared = (
-        pairs.groupBy("_hash")
-        .agg(F.min("cuenta").alias("_a"), F.max("cuenta").alias("_b"))
-        .where(F.col("_a") < F.col("_b"))
-        .select("_hash")
-    )
+    users = pairs.groupBy("_hash").agg(F.min("cuenta").alias("_a"), F.max("cuenta").alias("_b"))
+    # Written out, so that Spark knows how few there are before it plans the join.
+    shared = cut(users.where(F.col("_a") < F.col("_b")).select("_hash"), "shared-hashes")
     edges = cut(pairs.join(shared, "_hash", "left_semi").select(*_HELD).distinct(), "shared-keys")
     if edges.isEmpty():
         return None

@@ -97,7 +97,11 @@ def calculated_interest(validated: DataFrame) -> DataFrame:
 
 def latest_accounts(validated: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Upsert by account only: the last row of each account wins."""
-    incoming = last_arrivals(calculated_interest(validated), INT_KEY).select(*INT_TABLE.names)
+    return merge_accounts(stored, last_arrivals(calculated_interest(validated), INT_KEY).select(*INT_TABLE.names))
+
+
+def merge_accounts(stored: DataFrame | None, incoming: DataFrame) -> DataFrame:
+    """The account table after ``incoming``, one row per account, was written over it."""
     return merge_snapshot(stored, incoming, INT_KEY)
 
 
@@ -110,7 +114,7 @@ def serial_verdicts(validated: DataFrame, stored: DataFrame | None = None, repla
 def serial_accounts(verdicts: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """The account table after every kept row was applied in arrival order."""
     kept = verdicts.where("conserva")
-    return merge_snapshot(stored, last_arrivals(kept, INT_KEY).select(*INT_TABLE.names), INT_KEY)
+    return merge_accounts(stored, last_arrivals(kept, INT_KEY).select(*INT_TABLE.names))
 
 
 def rejected_interest(validated: DataFrame, verdicts: DataFrame | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from ledgerq.functions.dates import with_date
 from ledgerq.functions.numbers import MONEY, TOTAL, is_decimal, money, sign_of, wide_decimal
 from ledgerq.functions.text import clean, is_blank
 from ledgerq.operators.constraints import limit_rules
-from ledgerq.operators.dedup import first_arrivals, late_arrivals
+from ledgerq.operators.dedup import first_arrivals, late_arrivals, repeated_keys
 from ledgerq.operators.row_ranges import range_of
 from ledgerq.operators.rules import CORRUPT, REJECT_COLUMNS, WRITE, Rule, accepted, rejected, validate
 from ledgerq.schemas import TX_INPUT, TX_KEY, TX_LIMITS, TX_TABLE, TX_TYPES, TX_UNKNOWN
@@ -84,13 +84,18 @@ def written_by_range(validated: DataFrame, points: list[int]) -> DataFrame:
     return kept.select(*TX_TABLE.names, range_of(points).alias("particion"))
 
 
-def duplicate_transactions(validated: DataFrame) -> DataFrame:
+def repeated_transaction_keys(validated: DataFrame) -> DataFrame:
+    """Natural keys held by more than one accepted row, with the row that keeps each."""
+    return repeated_keys(accepted_transactions(validated), TX_KEY)
+
+
+def duplicate_transactions(validated: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Write-phase rejects: later arrivals of a natural key, in the shape of the reject trail."""
     rows = accepted(validated).select(
         "seq", *(F.col(c).alias(f"_{c}") for c in RAW), F.col("fecha_ok").alias("fecha"),
         F.col("monto_ok").alias("monto"), F.col("tipo_ok").alias("tipo"),
     )
-    return late_arrivals(rows, TX_KEY).select(
+    return late_arrivals(rows, TX_KEY, repeated).select(
         "seq",
         *(F.col(f"_{c}").alias(c) for c in RAW),
         F.lit(WRITE).alias(REJECT_COLUMNS[0]),
@@ -99,9 +104,9 @@ def duplicate_transactions(validated: DataFrame) -> DataFrame:
     )
 
 
-def rejected_transactions(validated: DataFrame) -> DataFrame:
+def rejected_transactions(validated: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """The whole reject trail: row rules and duplicates."""
-    return rejected(validated, RAW).unionByName(duplicate_transactions(validated))
+    return rejected(validated, RAW).unionByName(duplicate_transactions(validated, repeated))
 
 
 def summarize_transactions(written: DataFrame, skipped: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerq.operators.rules import CORRUPT, READ, Rule
+from ledgerq.sources.workspace import cut
 
 # One header line per file, columns by position, quotes doubled inside quotes, '#' comment lines.
 OPTIONS = {
@@ -23,6 +24,7 @@ OPTIONS = {
     # too long would pass unnoticed in a query that asks for few.
     "columnPruning": "false",
 }
+_BROADCAST_SPLITS = 500_000  # some 100 MB in memory; more splits meet their rows in a shuffle
 # Where a row's file split starts; ``number_rows`` turns it into a row number.
 FILE_POSITION = ("_metadata.file_path AS _file", "_metadata.file_block_start AS _block")
 
@@ -41,6 +43,7 @@ def scan(spark: SparkSession, path: str | list[str], schema: T.StructType) -> Da
 
 def scan_ordered(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """``scan`` plus ``seq``: the 1-based row number in file order (path, then offset)."""
+    pin_splits(spark)
     return number_rows(scan(spark, path, schema).selectExpr("*", *FILE_POSITION))
 
 
@@ -54,10 +57,19 @@ def number_rows(lines: DataFrame) -> DataFrame:
     splits = placed.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     # One row per split (128 MB of input or so): small enough for one ordered window.
     before = F.sum("_n").over(Window.orderBy("_file", "_block")) - F.col("_n")
-    starts = splits.select("_file", "_block", "_first", before.alias("_before"))
+    starts = cut(splits.select("_file", "_block", "_first", before.alias("_before")), "splits")
+    if starts.count() <= _BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     place = F.col("_row") - F.col("_first") + F.col("_before") + 1
+    lost = F.raise_error(F.lit("file splits changed between two passes")).cast("long")
     rest = [c for c in lines.columns if c not in ("_file", "_block")]
-    return placed.join(starts, ["_file", "_block"]).select(place.alias("seq"), *rest)
+    return placed.join(starts, ["_file", "_block"], "left").select(F.coalesce(place, lost).alias("seq"), *rest)
+
+
+def pin_splits(spark: SparkSession) -> None:
+    """Keep the size of file splits when executors come and go, so that two passes see the same."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
 def malformed_rule(df: DataFrame) -> list[Rule]:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerq.sources.spread import spread
+
 _DATE = """CASE WHEN k % 18 = 7 THEN '2024-13-01' WHEN k % 97 = 5 THEN '30/02/' || y
        WHEN k % 4 = 0 THEN y || '-' || m || '-' || d WHEN k % 4 = 1 THEN y || '/' || m || '/' || d
        WHEN k % 4 = 2 THEN d || '-' || m || '-' || y ELSE d || '/' || m || '/' || y END AS fecha"""
@@ -62,7 +64,7 @@ FROM supplier, (VALUES (1993), (1996), (2031)) AS y(anio)"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def derive(spark: SparkSession, sf_dir: str, sql: str, name: str) -> DataFrame:
