@@ -55,12 +55,12 @@ STORED_ACCOUNTS_SQL = """SELECT s_suppkey AS cuenta_id, 'N' || cast(s_suppkey %
   cast(floor(abs(s_acctbal) / 1000) * 1015 as decimal(15,2)) AS saldo_final
 FROM supplier"""
 
-STORED_STATEMENTS_SQL = """SELECT s_suppkey * 3 AS cuenta_id, y.anio AS anio,
+STORED_STATEMENTS_SQL = """SELECT s_suppkey * 3 AS cuenta_id, cast(1990 + s_suppkey % 15 as int) AS anio,
   cast(floor(abs(s_acctbal)) as decimal(18,2)) AS total_depositos,
   cast(0 as decimal(18,2)) AS total_retiros, cast(0 as decimal(18,2)) AS total_compras,
   cast(0 as decimal(18,2)) AS total_pagos, cast(floor(abs(s_acctbal)) as decimal(18,2)) AS saldo_neto,
   cast(1 as bigint) AS cantidad_movimientos, cast(0 as bigint) AS cantidad_anomalias
-FROM supplier, (VALUES (1993), (1996), (2031)) AS y(anio)"""
+FROM supplier"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
