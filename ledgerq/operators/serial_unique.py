@@ -7,10 +7,10 @@ outcome depends on arrival order, but only among accounts connected by shared ke
 1. Keys used by a single account decide nothing. Rows of accounts without a shared key all pass.
 2. The rest falls apart into connected groups, which are replayed in parallel, in order, with one
    account map in memory per group.
-3. A group above ``replay_rows`` rows is cut into time slices of at most that many rows. Within a
-   slice far fewer accounts are connected, so it is again solved in parallel; the keys held at its
-   end are a table that the next slice starts from. Exact at any size; no task ever has to take
-   a whole large group.
+3. A group above ``replay_rows`` rows is cut into time slices of at most that many rows. Each is
+   replayed from a table of the keys held when the slice before it ended, of which only the
+   accounts and keys of the slice are read. Exact at any size, and no task takes more rows than
+   that at once; slices follow one another, so a very large contested group takes long.
 """
 
 from __future__ import annotations
@@ -45,26 +45,26 @@ def settle(
     )
 
 
-def _turned_away(arrivals: DataFrame, held: DataFrame | None, replay_rows: int | None) -> DataFrame | None:
+def _turned_away(arrivals: DataFrame, held: DataFrame | None, replay_rows: int) -> DataFrame | None:
     """``seq`` of the rows that do not pass, as a table; None when nothing is shared."""
     pairs = arrivals.select(*_HELD)
     if held is not None:
         pairs = pairs.unionByName(held)
-    # Eight bytes per key go through the big shuffle. Keys whose hashes collide only add keys of
-    # one account to the few that go on, and those connect nothing.
-    pairs = pairs.withColumn("_hash", F.xxhash64("clave"))
+    # Eight bytes per key go through the shuffles. Keys whose hashes collide only make the groups
+    # larger than they need be.
+    pairs = pairs.select("cuenta", F.xxhash64("clave").alias("_hash"))
     users = pairs.groupBy("_hash").agg(F.min("cuenta").alias("_a"), F.max("cuenta").alias("_b"))
     # Written out, so that Spark knows how few there are before it plans the join.
     shared = cut(users.where(F.col("_a") < F.col("_b")).select("_hash"), "shared-hashes")
-    edges = cut(pairs.join(shared, "_hash", "left_semi").select(*_HELD).distinct(), "shared-keys")
+    edges = cut(pairs.join(shared, "_hash", "left_semi").distinct(), "shared-keys")
     if edges.isEmpty():
         return None
-    groups = components(edges, "cuenta", "clave")
+    groups = components(edges, "cuenta", "_hash")
     disputed = cut(arrivals.join(groups, "cuenta"), "disputed")
     start = None if held is None else cut(held.join(groups, "cuenta"), "held")
     out = fresh_path(arrivals.sparkSession, "turned-away")
-    large = disputed.groupBy("grupo").count().where(F.col("count") > replay_rows).select("grupo") if replay_rows else None
-    if large is not None and not large.isEmpty():
+    large = disputed.groupBy("grupo").count().where(F.col("count") > replay_rows).select("grupo")
+    if not large.isEmpty():
         large = cut(large, "large-groups")
         of_large = None if start is None else start.join(large, "grupo", "left_semi").select(*_HELD)
         _slices(disputed.join(large, "grupo", "left_semi").select(*_ROWS), of_large, replay_rows, out)
@@ -75,10 +75,9 @@ def _turned_away(arrivals: DataFrame, held: DataFrame | None, replay_rows: int |
 
 
 def _slices(arrivals: DataFrame, held: DataFrame | None, replay_rows: int, out: str) -> None:
-    """Solve large groups slice by slice; append the rows turned away to ``out``."""
+    """Replay large groups slice by slice; append the rows turned away to ``out``."""
     arrivals = cut(arrivals, "large-rows")
-    n = arrivals.count()
-    points = split_points(arrivals, -(-n // replay_rows))
+    points = split_points(arrivals, -(-arrivals.count() // replay_rows))
     for low, high in zip([None, *points], [*points, None]):
         part = arrivals
         if low is not None:
@@ -88,14 +87,13 @@ def _slices(arrivals: DataFrame, held: DataFrame | None, replay_rows: int, out:
         near = None
         if held is not None:
             by_account = held.join(part.select("cuenta").distinct(), "cuenta", "left_semi")
-            by_key = held.join(part.select("clave").distinct(), "clave", "left_semi")
-            near = by_account.unionByName(by_key).distinct()
-        away = _turned_away(part, near, None)
-        if away is not None:
-            away.write.mode("append").parquet(out)
-            part = part.join(away, "seq", "left_anti")
-        latest = part.groupBy("cuenta").agg(F.max_by("clave", "seq").alias("clave"))
-        held = cut(merge_snapshot(held, latest, ["cuenta"]), "held")
+            by_key = held.join(part.select("clave").distinct(), "clave", "left_semi").select(*_HELD)
+            near = by_account.unionByName(by_key).distinct().withColumn("grupo", F.lit(0))
+        away = cut(replay(part.withColumn("grupo", F.lit(0)), near), "slice")
+        away.write.mode("append").parquet(out)
+        passed = part.join(away, "seq", "left_anti")
+        latest = cut(passed.groupBy("cuenta").agg(F.max_by("clave", "seq").alias("clave")), "latest")
+        held = latest if held is None else cut(merge_snapshot(held, latest, ["cuenta"]), "held")
 
 
 def replay(arrivals: DataFrame, held: DataFrame | None) -> DataFrame:

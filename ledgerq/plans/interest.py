@@ -105,7 +105,7 @@ def merge_accounts(stored: DataFrame | None, incoming: DataFrame) -> DataFrame:
     return merge_snapshot(stored, incoming, INT_KEY)
 
 
-def serial_verdicts(validated: DataFrame, stored: DataFrame | None = None, replay_rows: int = 200_000) -> DataFrame:
+def serial_verdicts(validated: DataFrame, stored: DataFrame | None = None, replay_rows: int = 500_000) -> DataFrame:
     """Accepted rows with ``conserva``: whether both keys held when the row arrived."""
     rows = calculated_interest(validated)
     return settle(rows, stored, "cuenta_id", INT_NATURAL_KEY, replay_rows)
