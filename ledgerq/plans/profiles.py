@@ -33,16 +33,8 @@ def key_profile(rows: DataFrame, natural_key: tuple[str, ...], account: str = "c
 
     Distinct pairs are counted in steps, so that no task holds a set of values.
     """
-    keys = rows.groupBy(*natural_key).agg(F.count(F.lit(1)).alias("n"))
-    by_key = keys.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("filas"),
-        F.count(F.lit(1)).alias("claves"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repetidas"),
-    )
-    accounts = rows.select(account).distinct().agg(F.count(F.lit(1)).alias("cuentas"))
-    # Two one-row frames side by side.
-    return (
-        by_key.select(F.lit(1).alias("_one"), "*")
-        .join(accounts.select(F.lit(1).alias("_one"), "*"), "_one")
-        .select("filas", "cuentas", "claves", "repetidas")
-    )
+    names = ("filas", "cuentas", "claves", "repetidas")
+    per_key = rows.groupBy(*natural_key).agg(F.count(F.lit(1)).alias("n"))
+    keys = per_key.select(F.col("n"), F.lit(0), F.lit(1), F.col("n") - 1).toDF(*names)
+    accounts = rows.select(account).distinct().select(F.lit(0), F.lit(1), F.lit(0), F.lit(0)).toDF(*names)
+    return keys.unionByName(accounts).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names))
