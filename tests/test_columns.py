@@ -1,6 +1,9 @@
 """Column rules on hand-written edge values."""
 
+import calendar
 import datetime as dt
+import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -49,6 +52,29 @@ def test_dates(spark):
     assert {r["t"]: r["fecha_ok"] for r in rows} == DATES
 
 
+def parsed(text):
+    """The four layouts, one after the other, with late days moved back to the end of the month."""
+    for pattern in (r"(?P<y>\d{4})(?P<s>[-/])(?P<m>\d\d)(?P=s)(?P<d>\d\d)", r"(?P<d>\d\d)(?P<s>[-/])(?P<m>\d\d)(?P=s)(?P<y>\d{4})"):
+        found = re.fullmatch(pattern, text, re.ASCII)
+        if found:
+            y, m, d = (int(found[k]) for k in "ymd")
+            if y >= 1 and 1 <= m <= 12 and 1 <= d <= 31:
+                return dt.date(y, m, min(d, calendar.monthrange(y, m)[1]))
+    return None
+
+
+def test_random_dates(spark):
+    rng = random.Random(7)
+    shapes = ["{y:04d}{s}{m:02d}{s}{d:02d}", "{d:02d}{s}{m:02d}{s}{y:04d}", "{y}{s}{m}{s}{d}", "{y:04d}{s}{m:02d}{t}{d:02d}"]
+    values = {
+        rng.choice(shapes).format(y=rng.choice([0, 1, 1900, 2023, 2024, 9999]), m=rng.randrange(15), d=rng.randrange(34), s=s, t="/" if s == "-" else "-")
+        for _ in range(3000)
+        for s in ("-", "/")
+    }
+    rows = with_date(texts(spark, sorted(values)), "t").select("t", "fecha_ok").collect()
+    assert [(r["t"], r["fecha_ok"]) for r in rows if r["fecha_ok"] != parsed(r["t"])] == []
+
+
 def test_date_layouts(spark):
     rows = with_date(texts(spark, ["2024-13-01", "2024/01/01", "01-01-2024", "01/01/2024", "x"]), "t")
     assert [r[0] for r in rows.select("formato_fecha").collect()] == [
