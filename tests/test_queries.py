@@ -22,7 +22,9 @@ def test_same_rows_as_sql(spark, con, name):
 
 
 def test_driver_contract(spark):
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql()) == set(QUERIES)
+    assert set(entry_point.queries()) >= set(QUERIES)
+    assert set(entry_point.oracle_sql()) >= set(ORACLES) == set(QUERIES)
+    assert set(entry_point.queries()) >= set(entry_point.oracle_sql())
     assert entry_point.entry(spark).count() > 0
 
 
