@@ -2,7 +2,7 @@
 
 A record is a response with its payload or, if an earlier one holds the same payload, a revisit without it.
 Records are rows of Spark's text sink: the line separator it puts after each row is the one that ends a WARC record,
-so tasks write archives to any store Spark writes to. Reading takes whole files, bounded by ``FILE_RECORDS``, and
+so tasks write archives to any store Spark writes to, gzipped. Reading takes whole files, bounded by ``FILE_RECORDS``, and
 follows the length fields, so that a payload may hold anything, separators included.
 
 Payloads of less than ``LEAST`` bytes are always responses. Of equal longer payloads the one with the smallest
@@ -12,13 +12,14 @@ A null key is written as an empty id and reads back as null; it is a revisit if
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerq.llm.common import mapped
+from ledgerq.llm.common import cut, mapped
 
 LEAST, FILE_RECORDS = 100, 2000
 #: Fixed values of the format.
@@ -81,7 +82,7 @@ def write(records: DataFrame, path: str) -> None:
     )
     records.select(F.concat(head, F.lit("\r\n"), F.col("payload")).alias("value")).write.option("lineSep", END).option(
         "maxRecordsPerFile", FILE_RECORDS
-    ).text(path)
+    ).option("compression", "gzip").text(path)
 
 
 def parse(data: bytes):
@@ -112,7 +113,8 @@ def _records(batches):
     for batch in batches:
         for content in batch["content"]:
             rows = []
-            for head, body in parse(content.as_py()):
+            data = content.as_py()
+            for head, body in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                 response = head["warc-type"] == "response"
                 digest = head["warc-payload-digest"].removeprefix("sha256:")
                 if response and hashlib.sha256(body).hexdigest() != digest:
@@ -142,8 +144,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sizes(records: DataFrame) -> DataFrame:
-    """Records with the payload size of revisits taken from the response they refer to."""
-    heads = records.select("page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes")
+    """Records with the payload size of revisits taken from the response they refer to; archives are parsed once."""
+    heads = cut(records.select("page_id", "record_type", "refers_to", "payload_digest", "payload_bytes"), "records")
     held = (
         heads.where("record_type = 'response'")
         .groupBy("payload_digest")
