@@ -3,10 +3,13 @@
 Each rule looks at a whole text and votes good, bad, or abstains. Expectation-maximisation over all texts estimates, without
 labels, how often each rule's vote is right for good and for bad texts (the two accuracies of a rule) and the
 share of bad texts; a text's posterior probability of being good then decides, instead of "all rules must pass".
-There are at most 3 ** rules vote patterns, so the estimation runs over a small table of pattern counts.
+There are at most 3 ** rules vote patterns, so the estimation runs over a small table of pattern counts. It counts
+the texts that don't fail outright, as those that do (too few words, mostly repeated) are decided already.
 
-It starts from "bad if any rule says bad"; pseudo-counts keep the accuracies of a rule that rarely votes
-near the start. Null texts count as empty: no word, failed. An empty table gives no rows.
+It starts from "bad if any rule says bad". Priors, in proportion to the number of texts so that they weigh the same
+at any size, say that a good text rarely breaks a rule and a bad text breaks some.
+
+Null texts count as empty: no word, failed. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,10 +33,9 @@ _ending = (".", "!", "?", "…", '"', "”", "»", ":", ";")
 
 #: (name, measure, good up to, bad from): between the two a rule abstains.
 RULES = (
-    ("few_words", "too_few", 0.0, 0.5),
     ("odd_word_length", "odd_length", 0.0, 0.5),
     ("symbols", "symbol_rate", 0.02, 0.1),
-    ("repeated_lines", "line_rate", 0.1, 0.3),
+    ("repeated_lines", "line_rate", 0.2, 0.5),
     ("repeated_words", "repeat_rate", 0.2, 0.4),
     ("no_letters", "letterless_rate", 0.1, 0.3),
     ("capitals", "capital_rate", 0.1, 0.4),
@@ -73,7 +75,6 @@ def measures(text: str) -> tuple[list[int], dict[str, float]]:
     rate = 1 / max(n, 1)
     mean = base[1] * rate
     return base, {
-        "too_few": float(n < LEAST_WORDS),
         "odd_length": float(not 2 <= mean <= 15) if n else 1.0,
         "symbol_rate": base[2] * rate,
         "line_rate": base[3] / max(len(lines), 1),
@@ -115,15 +116,14 @@ def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tup
     """(posterior of good by pattern, accuracies: a row per rule of P(good | good), P(bad | bad))."""
     v = digits(codes)
     good, bad = v == 1, v == 2
-    post = np.where(bad.any(axis=1), 0.1, 0.95)
-    # Start of each rule: right 19 times of 20 on good texts, 3 times of 10 on bad ones.
-    start = np.array([[19.0, 1.0], [3.0, 7.0]])
+    post = np.where(bad.any(axis=1), 0.05, 0.99)
+    n = counts.sum() + 1
     accuracy = np.zeros((len(RULES), 2))
     for _ in range(rounds):
         w, u = counts * post, counts * (1 - post)
-        accuracy[:, 0] = (w @ good + start[0, 0]) / (w @ (good | bad) + start[0].sum())
-        accuracy[:, 1] = (u @ bad + start[1, 0]) / (u @ (good | bad) + start[1].sum())
-        share = np.clip((w.sum() + 1) / (counts.sum() + 2), 0.05, 0.99)
+        accuracy[:, 0] = (w @ good + 0.998 * n) / (w @ (good | bad) + n)
+        accuracy[:, 1] = (u @ bad + 0.01 * 0.3 * n) / (u @ (good | bad) + 0.01 * n)
+        share = np.clip((w.sum() + 0.09 * n) / (counts.sum() + 0.1 * n), 0.05, 0.99)
         odds = np.log(share / (1 - share)) + good @ np.log(accuracy[:, 0] / (1 - accuracy[:, 1]))
         odds += bad @ np.log((1 - accuracy[:, 0]) / accuracy[:, 1])
         post = 1 / (1 + np.exp(-odds))
@@ -141,13 +141,13 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         ),
         "measured",
     )
-    patterns = measured.groupBy("votes").count().collect()  # at most 3 ** rules rows
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PCT * F.col("n_words"))
+    patterns = measured.groupBy("votes").agg(F.count(F.when(~failed, 1)).alias("n")).collect()  # at most 3 ** rules rows
     codes = np.array([r["votes"] for r in patterns], np.int64)
-    post, _ = estimate(codes, np.array([r["count"] for r in patterns], float)) if len(codes) else (codes, None)
+    post, _ = estimate(codes, np.array([r["n"] for r in patterns], float)) if len(codes) else (codes, None)
     posterior = measured.sparkSession.createDataFrame(
         [(int(c), float(p)) for c, p in zip(codes, post, strict=True)], "votes int, posterior double"
     )
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PCT * F.col("n_words"))
     return measured.join(F.broadcast(posterior), "votes").select(
         F.col("_id").alias(key),
         "n_words",
