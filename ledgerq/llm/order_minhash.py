@@ -5,9 +5,9 @@ a text of one to four words is one shingle). Equal shingles are told apart by th
 of ``ENTRIES`` hash functions samples the ``KEPT`` smallest labelled shingles and keeps them in text order,
 so that an entry is sensitive to order as well as to content. Texts that share an entry are candidates.
 
-Two texts are linked when, of all shingles of both, at least ``SIMILARITY`` are matched in order:
-``m / (n1 + n2 - m)``, where m is the length of the best in-order alignment. It is found by a banded alignment
-that follows only the diagonals the threshold allows and is exact. Entries agree with probability of about
+Two texts are linked when, of all labelled shingles of both, at least ``SIMILARITY`` are matched in order:
+``m / (n1 + n2 - m)``, where m is the length of the best in-order alignment. It is found by a banded alignment over
+the places of equal shingles that lie on the diagonals the threshold allows, and is exact. Entries agree with probability of about
 0.8 ** 3 at the threshold, so a pair just above it is missed in all 14 with probability 5e-5.
 
 Copies of one text are one node. In each bucket the members are aligned with one pivot; those out of the
@@ -20,6 +20,8 @@ Null texts count as empty; texts without a word are equal to each other only and
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -95,75 +97,52 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def matched(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
-    """Length of the best in-order alignment of two shingle sequences that leaves at most ``most`` shingles
-    of both unmatched, or None if there is none.
+class Shingled:
+    """A text's labelled shingles in text order, and sorted with their places."""
+
+    __slots__ = ("n", "order", "ranked")
+
+    def __init__(self, text: str | None):
+        x = labelled(shingles(text))
+        self.n = len(x)
+        self.order = np.argsort(x)
+        self.ranked = x[self.order]
+
+
+def compare(a: Shingled, b: Shingled) -> tuple[bool, bool]:
+    """(linked, near): near if a text that the first one links may still link the second.
 
-    Furthest-reaching points by diagonal; runs of equal shingles are jumped by binary search over prefix hashes.
+    The alignment is sparse: only places of equal labelled shingles inside the band count, and the longest chain of them that
+    rises in both texts is the best alignment.
     """
-    n, m = len(a), len(b)
-    start = 0
-    short = min(n, m)
-    differ = np.flatnonzero(a[:short] != b[:short])
-    start = int(differ[0]) if len(differ) else short
-    a, b = a[start:], b[start:]
-    short = min(len(a), len(b))
-    differ = np.flatnonzero(a[::-1][:short] != b[::-1][:short])
-    end = int(differ[0]) if len(differ) else short
-    a, b = a[: len(a) - end], b[: len(b) - end]
-    fixed = start + end
-    n1, m1 = len(a), len(b)
-    if not n1 or not m1:
-        return fixed if n1 + m1 <= most else None
-    if abs(n1 - m1) > most:
-        return None
-    power = np.multiply.accumulate(np.full(max(n1, m1) + 1, _BASE))
-    # Sums of hash * base ** position: equal runs have sums that differ by a power of the base.
-    pa_, pb_ = (np.concatenate([[np.uint64(0)], np.cumsum(x * power[: len(x)], dtype=np.uint64)]) for x in (a, b))
-    top = 1 << max(n1, m1).bit_length()
-
-    def slide(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """How far past (x, y) both sequences agree; x, y within bounds."""
-        got, step = np.zeros(len(x), np.int64), top
-        while step:
-            to = got + step
-            fits = (x + to <= n1) & (y + to <= m1)
-            i, j, d = x[fits], y[fits], to[fits]
-            same = (pa_[i + d] - pa_[i]) * power[np.maximum(j - i, 0)] == (pb_[j + d] - pb_[j]) * power[np.maximum(i - j, 0)]
-            got[np.flatnonzero(fits)[same]] = d[same]
-            step >>= 1
-        return got
-
-    # reach[k + most + 1]: the furthest position in a on diagonal k = x - y; -1: none.
-    reach = np.full(2 * most + 3, -1, np.int64)
-    for d in range(most + 1):
-        k = np.arange(-d, d + 1, 2)
-        if d:
-            at = k + most + 1
-            x = np.maximum(np.where(reach[at - 1] >= 0, reach[at - 1] + 1, -1), reach[at + 1])
-        else:
-            x = np.zeros(1, np.int64)
-        y = x - k
-        ok = (x >= 0) & (y >= 0) & (x <= n1) & (y <= m1)
-        k, x, y = k[ok], x[ok], y[ok]
-        x = x + slide(x, y)
-        reach[np.arange(-d, d + 1, 2) + most + 1] = -1
-        reach[k + most + 1] = x
-        if ((x == n1) & (x - k == m1)).any():
-            return fixed + (n1 + m1 - d) // 2
-    return None
-
-
-def compare(a: np.ndarray, b: np.ndarray) -> tuple[bool, bool]:
-    """(linked, near): near if a text that the first one links may still link the second."""
-    n, m = len(a), len(b)
-    ua, ub = np.unique(labelled(a)), np.unique(labelled(b))
-    common = len(np.intersect1d(ua, ub, assume_unique=True))
+    n, m = a.n, b.n
+    at = np.searchsorted(b.ranked, a.ranked)
+    at[at == m] = 0
+    same = b.ranked[at] == a.ranked if m else np.zeros(n, bool)
+    common = int(same.sum())
     near = n + m - 2 * common <= (m + 3.5 * n) / 9
     need = int(np.ceil(round(SIMILARITY / (1 + SIMILARITY) * (n + m), 9)))
-    if common < need:
+    if common < need or not common:
         return False, near
-    return matched(a, b, n + m - 2 * need) is not None, near
+    left, right = a.order[same], b.order[at[same]]
+    by_place = np.argsort(left)
+    left, right = left[by_place], right[by_place]
+    # An alignment that leaves at most n + m - 2 * need shingles unmatched strays no further than that from the diagonal.
+    right = right[np.abs(left - right) <= n + m - 2 * need]
+    return rising(right) >= need, near
+
+
+def rising(x: np.ndarray) -> int:
+    """Length of the longest rising subsequence."""
+    if len(x) < 2 or (x[1:] > x[:-1]).all():
+        return len(x)
+    ends: list[int] = []
+    for v in x.tolist():
+        if not ends or v > ends[-1]:
+            ends.append(v)
+        else:
+            ends[bisect_left(ends, v)] = v
+    return len(ends)
 
 
 def _sketches(batches):
@@ -181,20 +160,23 @@ def _sketches(batches):
 
 
 def _verify(batches):
-    kept: dict[bytes, np.ndarray] = {}
-
-    def known(node: bytes, text: str) -> np.ndarray:
-        if node not in kept:
-            if len(kept) >= 16:
+    kept: dict[bytes, Shingled] = {}
+    held = 0
+
+    def known(node: bytes, text: str) -> Shingled:
+        nonlocal held
+        found = kept.get(node)
+        if found is None:
+            if held > 4_000_000:  # shingles, 16 bytes each
                 kept.clear()
-            kept[node] = shingles(text)
-        return kept[node]
+                held = 0
+            found = kept[node] = Shingled(text)
+            held += found.n
+        return found
 
     for batch in batches:
-        rows = [
-            compare(known(a, ta), shingles(tb))
-            for a, ta, tb in zip(*(batch[c].to_pylist() for c in ("a", "_ta", "_tb")), strict=True)
-        ]
+        columns = (batch[c].to_pylist() for c in ("a", "b", "_ta", "_tb"))
+        rows = [compare(known(a, ta), known(b, tb)) for a, b, ta, tb in zip(*columns, strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch["a"], batch["b"], pa.array([r[0] for r in rows], pa.bool_()), pa.array([r[1] for r in rows], pa.bool_())],
             ["a", "b", "linked", "near"],
@@ -202,8 +184,11 @@ def _verify(batches):
 
 
 def _agreeing(key, group):
-    """Pairs of a comparison block that agree in enough entries; at least one of them a stray."""
-    _, _, i, j = (k.as_py() for k in key)
+    """Pairs of a comparison block that agree in enough entries; at least one of them a stray.
+
+    A pair is named only where it first agrees: a bucket in which it isn't to be compared proves that it needn't be.
+    """
+    entry, _, i, j = (k.as_py() for k in key)
     part = np.array(group["_part"])
     node = group["_node"].to_pylist()
     kind = np.array(group["_kind"])  # 0: the pivot's, 1: out of reach, 2: in between
@@ -213,7 +198,8 @@ def _agreeing(key, group):
     for x in left:
         others = right[right > x] if i == j else right
         others = others[(kind[others] > 0) & (kind[x] > 0) | (kind[others] + kind[x] == 2)]
-        for y in others[(s[others] == s[x]).sum(axis=1) >= AGREE]:
+        agree = s[others] == s[x]
+        for y in others[(agree.sum(axis=1) >= AGREE) & (agree.argmax(axis=1) == entry)]:
             low, high = sorted((node[x], node[y]))
             a.append(low)
             b.append(high)
@@ -298,7 +284,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         )
         .join(texts.select("_node", "_s"), "_node")
     )
-    more = blocks.groupBy("_j", "_e", "_x", "_y").applyInArrow(_agreeing, "a binary, b binary").distinct()
+    more = blocks.groupBy("_j", "_e", "_x", "_y").applyInArrow(_agreeing, "a binary, b binary")
     more = cut(more.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "strays")
     links = links.unionByName(_aligned(more, whole).where("linked").select("a", "b"))
     groups = components(links).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
