@@ -10,7 +10,7 @@ Two texts are linked when, of all labelled shingles of both, at least ``SIMILARI
 the places of equal shingles that lie on the diagonals the threshold allows, and is exact. Entries agree with probability of about
 0.8 ** 3 at the threshold, so a pair just above it is missed in all 14 with probability 5e-5.
 
-Copies of one text are one node. In each bucket the members are aligned with one pivot; those out of the
+Copies of one text are one node. In each bucket the members are aligned with its most connected one; those out of the
 pivot's reach are compared among themselves, in blocks of bounded size, and those in between also with the
 members the pivot has (by the triangle inequality of the alignment distance no other pair can be linked).
 So a group of n near copies costs about n alignments per entry, not n squared, and no bucket is cut off.
@@ -31,13 +31,14 @@ from ledgerq.llm.common import WordHashes, cut, mapped, mix64
 from ledgerq.llm.graph import components
 
 SHINGLE, KEPT, ENTRIES, SIMILARITY = 5, 3, 14, 0.8
-#: Rows of one side of a comparison block.
-BLOCK = 1024
+#: Rows and shingles of one side of a comparison block, about.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 #: Strays that agree in fewer entries are not aligned (at 0.8, about 7 of 14 agree).
 AGREE = 2
 #: A long text's shingles are hashed for this many shingle positions at a time.
 SPAN = 1 << 18
 
+#: For rolling and mixing.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix64(np.arange(1, ENTRIES + 1, dtype=np.uint64) * _BASE)
 _hashes = WordHashes()
@@ -102,11 +103,13 @@ class Shingled:
 
     __slots__ = ("n", "order", "ranked")
 
-    def __init__(self, text: str | None):
-        x = labelled(shingles(text))
-        self.n = len(x)
-        self.order = np.argsort(x)
-        self.ranked = x[self.order]
+    @classmethod
+    def of(cls, labels: np.ndarray) -> Shingled:
+        self = cls()
+        self.n = len(labels)
+        self.order = np.argsort(labels)
+        self.ranked = labels[self.order]
+        return self
 
 
 def compare(a: Shingled, b: Shingled) -> tuple[bool, bool]:
@@ -170,7 +173,7 @@ def _verify(batches):
             if held > 4_000_000:  # shingles, 16 bytes each
                 kept.clear()
                 held = 0
-            found = kept[node] = Shingled(text)
+            found = kept[node] = Shingled.of(labelled(shingles(text)))
             held += found.n
         return found
 
@@ -183,16 +186,26 @@ def _verify(batches):
         )
 
 
-def _agreeing(key, group):
-    """Pairs of a comparison block that agree in enough entries; at least one of them a stray.
+def _digests(batches):
+    for batch in batches:
+        found = [(labelled(shingles(t)) >> np.uint64(32)).astype(np.uint32).view(np.int32) for t in batch["_text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["_node"], pa.array(found, pa.list_(pa.int32()))], ["_node", "_x"])
+
+
+def _strays(key, group):
+    """Links of a comparison block between texts of which at least one is a stray, as few as connect the same texts.
 
-    A pair is named only where it first agrees: a bucket in which it isn't to be compared proves that it needn't be.
+    A pair is looked at only in the bucket where it first agrees: a bucket in which it isn't to be compared proves
+    that it needn't be. Here shingles are told apart by the upper half of their hash.
     """
     entry, _, i, j = (k.as_py() for k in key)
+    group = group.combine_chunks()
     part = np.array(group["_part"])
-    node = group["_node"].to_pylist()
     kind = np.array(group["_kind"])  # 0: the pivot's, 1: out of reach, 2: in between
     s = np.stack(group["_s"].to_numpy(zero_copy_only=False))
+    arrays = group["_x"]
+    made: dict[int, Shingled] = {}
+    root = np.arange(len(part))
     left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
     a, b = [], []
     for x in left:
@@ -200,10 +213,17 @@ def _agreeing(key, group):
         others = others[(kind[others] > 0) & (kind[x] > 0) | (kind[others] + kind[x] == 2)]
         agree = s[others] == s[x]
         for y in others[(agree.sum(axis=1) >= AGREE) & (agree.argmax(axis=1) == entry)]:
-            low, high = sorted((node[x], node[y]))
-            a.append(low)
-            b.append(high)
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+            if root[x] == root[y]:
+                continue
+            for v in (x, y):
+                if v not in made:
+                    made[v] = Shingled.of(arrays[int(v)].values.to_numpy().view(np.uint32))
+            if compare(made[x], made[y])[0]:
+                a.append(x)
+                b.append(y)
+                root[root == root[y]] = root[x]
+    nodes = group["_node"]
+    return pa.table({"a": nodes.take(pa.array(a, pa.int64())), "b": nodes.take(pa.array(b, pa.int64()))})
 
 
 def _aligned(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -233,13 +253,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "texts",
     )
     entries = texts.select("_node", F.posexplode("_s").alias("_j", "_e"))
-    shared = (
-        entries.groupBy("_j", "_e")
-        .agg(F.min("_node").alias("_pivot"), F.max("_node").alias("_high"), F.count(F.lit(1)).alias("_size"))
-        .where("_pivot != _high")
-        .select("_j", "_e", "_pivot", "_size")
+    sizes = entries.groupBy("_j", "_e").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
+    members = cut(entries.join(sizes, ["_j", "_e"]), "members")
+    # The pivot of a bucket is the text with the most company in all its buckets: what copies were made from has more
+    # entries in common with each of them than they have with each other.
+    company = members.groupBy("_node").agg(F.sum("_size").alias("_company"))
+    pivots = (
+        members.join(company, "_node")
+        .groupBy("_j", "_e")
+        .agg(F.max(F.struct("_company", "_node")).alias("_p"))
+        .select("_j", "_e", F.col("_p._node").alias("_pivot"))
     )
-    members = cut(entries.join(shared, ["_j", "_e"]), "members")
+    members = cut(members.join(pivots, ["_j", "_e"]), "pivots")
     stars = members.where("_node != _pivot").select(F.col("_pivot").alias("a"), F.col("_node").alias("b")).distinct()
     touched = members.select("_node").distinct()
     whole = cut(
@@ -269,24 +294,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.count(F.when(F.col("_kind") == 2, 1)).alias("_between"),
         F.count(F.lit(1)).alias("_all"),
     )
-    open_ = counts.where("_strays > 1 or (_between > 0 and _all > 1)").select(
-        "_j", "_e", "_between", F.ceil(F.when(F.col("_between") > 0, F.col("_all")).otherwise(F.col("_strays")) / BLOCK).alias("_blocks")
+    open_ = counts.where("_strays > 1 or (_between > 0 and _all > 1)").select("_j", "_e", "_between")
+    placed = cut(
+        stray.join(open_, ["_j", "_e"]).where("_kind > 0 or _between > 0").join(texts.select("_node", "_n"), "_node"), "placed"
     )
-    placed = (
-        stray.join(open_, ["_j", "_e"])
-        .where("_kind > 0 or _between > 0")
-        .withColumn("_part", F.pmod(F.xxhash64("_node", "_j"), F.col("_blocks")).cast("int"))
+    blocks = placed.groupBy("_j", "_e").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("_blocks")
     )
-    blocks = (
-        placed.select("*", F.explode(F.sequence(F.lit(0), (F.col("_blocks") - 1).cast("int"))).alias("_other"))
-        .select(
-            "_j", "_e", "_node", "_kind", "_part", F.least("_part", "_other").alias("_x"), F.greatest("_part", "_other").alias("_y")
-        )
-        .join(texts.select("_node", "_s"), "_node")
+    digests = mapped(
+        whole.join(placed.select("_node").distinct(), "_node", "left_semi").select("_node", "_text"),
+        _digests,
+        "_node binary, _x array<int>",
+    ).join(texts.select("_node", "_s"), "_node")
+    more = (
+        placed.join(blocks, ["_j", "_e"])
+        .withColumn("_part", F.pmod(F.xxhash64("_node", "_j"), F.col("_blocks")).cast("int"))
+        .select("_j", "_e", "_node", "_kind", "_part", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+        .select("_j", "_e", "_node", "_kind", "_part", F.least("_part", "_other").alias("_u"), F.greatest("_part", "_other").alias("_v"))
+        .join(digests, "_node")
+        .groupBy("_j", "_e", "_u", "_v")
+        .applyInArrow(_strays, "a binary, b binary")
     )
-    more = blocks.groupBy("_j", "_e", "_x", "_y").applyInArrow(_agreeing, "a binary, b binary")
-    more = cut(more.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "strays")
-    links = links.unionByName(_aligned(more, whole).where("linked").select("a", "b"))
+    links = links.unionByName(cut(more, "strays"))
     groups = components(links).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     return sketched.select("_id", "_node"), groups
 
