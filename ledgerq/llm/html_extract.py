@@ -201,6 +201,20 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, [(owner, "".join(parts)) for owner, parts in blocks]
 
 
+#: Kinds of elements that hold no main text by their meaning.
+_APART = frozenset("nav header footer aside form".split())
+
+
+def around(node: Node) -> str:
+    """What a node's own markup says about its children: the potential of parent and child depends on it."""
+    return "apart" if node.sign == "bad" or node.kind in _APART else "open"
+
+
+def weight(name: str) -> float:
+    """Length, links and punctuation go together and count half each."""
+    return 0.5 if name.startswith(("size:", "link:", "stop:")) else 1.0
+
+
 def seen(node: Node) -> list[str]:
     """What is seen at a node."""
     own = "".join(node.texts)
@@ -239,14 +253,15 @@ _EVEN = (0.0, 0.0)
 def marginals(nodes: list[Node], weights: dict[str, tuple[float, float]]) -> list[float]:
     """Each node's probability of main text: sum-product messages up the tree, then down."""
     n = len(nodes)
-    pair = (weights.get("pair:0", _EVEN), weights.get("pair:1", _EVEN))
+    pairs = {a: (weights.get(f"pair:0:{a}", _EVEN), weights.get(f"pair:1:{a}", _EVEN)) for a in ("apart", "open")}
+    kinds = [pairs[around(node)] for node in nodes]
     own = []
     for node in nodes:
         no = yes = 0.0
         for name in seen(node):
             w = weights.get(name, _EVEN)
-            no += w[0]
-            yes += w[1]
+            no += weight(name) * w[0]
+            yes += weight(name) * w[1]
         own.append([no, yes])
 
     def add(a: float, b: float) -> float:
@@ -256,14 +271,15 @@ def marginals(nodes: list[Node], weights: dict[str, tuple[float, float]]) -> lis
     up = [_EVEN] * n
     for i in range(n - 1, 0, -1):
         no, yes = below[i]
+        pair = kinds[nodes[i].parent]
         up[i] = (add(pair[0][0] + no, pair[0][1] + yes), add(pair[1][0] + no, pair[1][1] + yes))
         parent = below[nodes[i].parent]
         parent[0] += up[i][0]
         parent[1] += up[i][1]
     belief = [list(x) for x in below]
     for i in range(1, n):
-        around = belief[nodes[i].parent]
-        no, yes = around[0] - up[i][0], around[1] - up[i][1]  # the parent's belief without this child
+        pair, above = kinds[nodes[i].parent], belief[nodes[i].parent]
+        no, yes = above[0] - up[i][0], above[1] - up[i][1]  # the parent's belief without this child
         belief[i][0] += add(pair[0][0] + no, pair[1][0] + yes)
         belief[i][1] += add(pair[0][1] + no, pair[1][1] + yes)
     return [1 / (1 + math.exp(min(max(no - yes, -700), 700))) for no, yes in belief]
@@ -292,7 +308,7 @@ def observations(page: str) -> list[tuple[str, int]]:
             node.label = nodes[node.parent].label
         out += [(name, node.label) for name in seen(node)]
         if i:
-            out.append((f"pair:{nodes[node.parent].label}", node.label))
+            out.append((f"pair:{nodes[node.parent].label}:{around(nodes[node.parent])}", node.label))
     return out
 
 

@@ -2,8 +2,7 @@
 
 An Aho-Corasick automaton over the pieces reads a text once; at each position its output links name every piece that
 ends there, longest first, and each relaxes the best score of the position (unigram segmentation: the largest sum
-of piece scores; of equal sums the one whose last piece is longest, as the public library does it). Characters
-no piece covers become byte ids.
+of piece scores; of equal sums the one whose last piece is longest). Characters no piece covers become byte ids.
 
 Pieces hold the space mark only in front, so segmentations don't cross the start of a run of spaces; what lies
 between is encoded once and kept, up to ``limit`` distinct chunks per worker.
