@@ -61,7 +61,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """A 64-bit hash of each word. Holds up to ``limit`` words; others are hashed each time."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 

@@ -32,7 +32,7 @@ from ledgerq.llm.graph import components
 
 SHINGLE, KEPT, ENTRIES, SIMILARITY = 5, 3, 14, 0.8
 #: Rows and shingles of one side of a comparison block, about.
-BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 #: Strays that agree in fewer entries are not aligned (at 0.8, about 7 of 14 agree).
 AGREE = 2
 #: A long text's shingles are hashed for this many shingle positions at a time.
@@ -170,7 +170,7 @@ def _verify(batches):
         nonlocal held
         found = kept.get(node)
         if found is None:
-            if held > 4_000_000:  # shingles, 16 bytes each
+            if held > 1_000_000:  # shingles, 16 bytes each
                 kept.clear()
                 held = 0
             found = kept[node] = Shingled.of(labelled(shingles(text)))

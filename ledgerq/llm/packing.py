@@ -40,7 +40,7 @@ class ChunkIds:
     and told apart by the bytes their ids stand for.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

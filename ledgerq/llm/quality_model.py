@@ -35,7 +35,7 @@ _REPEATED = np.uint64(1)
 class _Tokens(dict):
     def __missing__(self, token: str) -> int:
         value = zlib.crc32(token.encode("utf-8", "surrogatepass")) + 2
-        if len(self) < 300_000:
+        if len(self) < 100_000:
             self[token] = value
         return value
 
