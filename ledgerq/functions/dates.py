@@ -9,8 +9,8 @@ from ledgerq.functions.text import clean
 
 # The accepted layouts, two digits for day and month and four for the year, with
 # the same separator twice.
-YEAR_FIRST = r"^[0-9]{4}(?:-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}$"
-DAY_FIRST = r"^[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/)[0-9]{4}$"
+YEAR_FIRST = r"^[0-9]{4}(?:-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}\z"
+DAY_FIRST = r"^[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/)[0-9]{4}\z"
 LAYOUTS = {"iso": "yyyy-MM-dd", "ymd_slash": "yyyy/MM/dd", "dmy_dash": "dd-MM-yyyy", "dmy_slash": "dd/MM/yyyy"}
 
 

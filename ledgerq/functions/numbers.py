@@ -14,8 +14,8 @@ RATE = T.DecimalType(6, 4)
 WIDE = T.DecimalType(31, 18)
 
 # Fixed value: decimal text grammar (sign, digits with an optional point, exponent).
-DECIMAL_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-INTEGER_TEXT = r"^[+-]?[0-9]+$"
+DECIMAL_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+INTEGER_TEXT = r"^[+-]?[0-9]+\z"
 NONZERO_MANTISSA = r"^[^eE]*[1-9]"
 
 
