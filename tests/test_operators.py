@@ -31,6 +31,12 @@ def test_first_last_and_late_arrivals(spark):
     assert sorted(map(tuple, late_arrivals(df, ["k"], repeated_keys(df, ["k"])).collect())) == late
 
 
+def test_null_keys_are_equal_for_winners_and_losers(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (3, "k", "c")], "seq long, k string, v string")
+    assert sorted(r["seq"] for r in first_arrivals(df, ["k"]).collect()) == [1, 3]
+    assert [(r["seq"], r["_kept"]) for r in late_arrivals(df, ["k"]).collect()] == [(2, 1)]
+
+
 def test_no_window_puts_a_key_in_one_task(spark):
     df = spark.createDataFrame(hot_rows(60), "seq long, k string, v string")
     for frame in (first_arrivals(df, ["k"]), last_arrivals(df, ["k"]), late_arrivals(df, ["k"])):
@@ -75,6 +81,13 @@ def test_split_points_are_exact(spark, spread, ranges):
     assert [r["p"] for r in got.collect()] == parts
 
 
+def test_ten_thousand_ranges(spark):
+    points = list(range(10, 100_000, 10))
+    got = spark.range(100_000).select(F.col("id"), range_of(points, "id").alias("p"))
+    assert got.where("p != id div 10").isEmpty()
+    assert got.select(F.count_distinct("p")).first()[0] == 10_000
+
+
 def test_split_points_need_unique_values(spark):
     with pytest.raises(ValueError, match="not unique"):
         split_points(spark.createDataFrame([(5,)] * 9 + [(6,)], "seq long"), 3)
