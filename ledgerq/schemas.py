@@ -77,3 +77,4 @@ QUALITY_OK = "CALIDAD_OK"
 REVIEW = "REVISION_REQUERIDA"
 COMPLETED = "COMPLETED"
 FAILED = "FAILED"
+ALREADY_COMPLETE = "ALREADY_COMPLETE"

@@ -24,9 +24,11 @@ OPTIONS = {
     # too long would pass unnoticed in a query that asks for few.
     "columnPruning": "false",
 }
-_BROADCAST_SPLITS = 500_000  # some 100 MB in memory; more splits meet their rows in a shuffle
-# Where a row's file split starts; ``number_rows`` turns it into a row number.
+# Some 200 MB in memory, the splits of 128 TB; more of them meet their rows in a shuffle.
+_BROADCAST_SPLITS = 1_000_000
 FILE_POSITION = ("_metadata.file_path AS _file", "_metadata.file_block_start AS _block")
+#: What ``placed`` adds and ``number_rows`` turns into a row number.
+PLACE = ("_file", "_block", "_row")
 
 
 def with_malformed(schema: T.StructType) -> T.StructType:
@@ -42,34 +44,37 @@ def scan(spark: SparkSession, path: str | list[str], schema: T.StructType) -> Da
 
 
 def scan_ordered(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """``scan`` plus ``seq``: the 1-based row number in file order (path, then offset)."""
-    pin_splits(spark)
-    return number_rows(scan(spark, path, schema).selectExpr("*", *FILE_POSITION))
+    """``scan`` plus ``seq``: the 1-based row number in file order (path, then offset).
+
+    The files are parsed once, into a table of placed lines; whatever happens to the split layout
+    later, every pass reads that table.
+    """
+    return number_rows(cut(placed(scan(spark, path, schema)), "lines"))
+
+
+def placed(lines: DataFrame) -> DataFrame:
+    """Add where a line of a file scan comes from: its file split, and a place that rises in it.
+
+    Only good for one pass. Write the rows before they are numbered.
+    """
+    return lines.selectExpr(*FILE_POSITION, "monotonically_increasing_id() AS _row", "*")
 
 
-def number_rows(lines: DataFrame) -> DataFrame:
-    """Add ``seq``, the 1-based row number by ``_file`` and ``_block``, in place of those two.
+def number_rows(written: DataFrame) -> DataFrame:
+    """``seq``, the 1-based row number by file and offset, in place of the columns of ``placed``.
 
-    Two narrow passes and no sort of the data. The first counts the rows of each file split, the
-    only thing that is ordered; the second adds a row's place in its split to the rows before it.
+    ``written`` is a table. Rows per split are counted, these counts alone are put in order, and a
+    row adds its place in its split to the rows before the split. No sort of the data.
     """
-    placed = lines.withColumn("_row", F.monotonically_increasing_id())
-    splits = placed.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    splits = written.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     # One row per split (128 MB of input or so): small enough for one ordered window.
     before = F.sum("_n").over(Window.orderBy("_file", "_block")) - F.col("_n")
     starts = cut(splits.select("_file", "_block", "_first", before.alias("_before")), "splits")
     if starts.count() <= _BROADCAST_SPLITS:
         starts = F.broadcast(starts)
-    place = F.col("_row") - F.col("_first") + F.col("_before") + 1
-    lost = F.raise_error(F.lit("file splits changed between two passes")).cast("long")
-    rest = [c for c in lines.columns if c not in ("_file", "_block")]
-    return placed.join(starts, ["_file", "_block"], "left").select(F.coalesce(place, lost).alias("seq"), *rest)
-
-
-def pin_splits(spark: SparkSession) -> None:
-    """Keep the size of file splits when executors come and go, so that two passes see the same."""
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    seq = F.col("_row") - F.col("_first") + F.col("_before") + 1
+    rest = [c for c in written.columns if c not in PLACE]
+    return written.join(starts, ["_file", "_block"]).select(seq.alias("seq"), *rest)
 
 
 def malformed_rule(df: DataFrame) -> list[Rule]:

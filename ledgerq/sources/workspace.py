@@ -9,14 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def workspace(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder of ``spark.checkpoint.dir``, or the context's own checkpoint folder.
+
+    Where neither is set, a local session gets a temporary folder. On a cluster each executor would
+    write to a disk of its own, so that raises.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not runs_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="ledgerq-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def runs_local(master: str) -> bool:
+    """Whether driver and executors are one process; ``local-cluster`` is not."""
+    return master == "local" or master.startswith("local[")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{workspace(spark)}/ledgerq/{name}-{uuid.uuid4().hex}"
 

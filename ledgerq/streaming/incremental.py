@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerq.sources.delimited import FILE_POSITION, OPTIONS, number_rows, with_malformed
+from ledgerq.sources.workspace import cut
 
-_BATCH_SHIFT = 40  # room for 10^12 rows in a batch
+_BATCH_ROWS = 1 << 40  # seq has room for so many rows in a batch
 
 
 def load_new_files(
@@ -20,23 +21,29 @@ def load_new_files(
     validate: Callable[[DataFrame], DataFrame],
     target: str,
     checkpoint: str,
+    bytes_per_batch: int = 1 << 42,
 ) -> None:
     """Validate every file that arrived since the last call and add it to the table at ``target``.
 
     The checkpoint remembers the files. Each micro-batch goes to a folder of its own number, so a
     batch repeated after a failure replaces itself: rows are added exactly once. ``seq`` orders
-    rows by batch, then file, then line.
+    rows by batch, then file, then line. A backlog is taken in batches of about ``bytes_per_batch``
+    (4 TiB, of lines of four bytes or more); a batch of too many rows for ``seq`` raises.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = number_rows(batch).withColumn("seq", F.col("seq") + F.lit(batch_id << _BATCH_SHIFT))
+        rows = number_rows(cut(batch.withColumn("_row", F.monotonically_increasing_id()), "lines"))
+        full = F.raise_error(F.lit("too many rows in a batch; lower bytes_per_batch")).cast("long")
+        seq = F.when(F.col("seq") < _BATCH_ROWS, F.col("seq") + F.lit(batch_id * _BATCH_ROWS)).otherwise(full)
+        rows = rows.withColumn("seq", seq)
         validate(rows).write.mode("overwrite").parquet(f"{target}/lote={batch_id}")
 
     query = (
         spark.readStream.schema(with_malformed(schema))
         .options(**OPTIONS)
+        .option("maxBytesPerTrigger", bytes_per_batch)
         .csv(source)
-        .selectExpr("*", *FILE_POSITION)
+        .selectExpr(*FILE_POSITION, "*")
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -8,6 +8,7 @@ from ledgerq.plans.transactions import accepted_transactions, validate_transacti
 from ledgerq.schemas import MOV_INPUT, TX_INPUT
 from ledgerq.sources.delimited import scan, scan_ordered
 from ledgerq.sources.tables import append_rows, replace_table
+from ledgerq.sources.workspace import runs_local
 from ledgerq.streaming.incremental import load_new_files, loaded
 
 HEADER = "id,fecha,monto,tipo\n"
@@ -70,6 +71,24 @@ def test_row_numbers_follow_files_and_offsets(spark, tmp_path):
     assert [r["id"] for r in rows] == [*range(40), *range(300), *range(3000)]
 
 
+def test_row_numbers_hold_when_the_split_layout_changes(spark, tmp_path):
+    """The split settings change between the scan and the action."""
+    for f in range(60):
+        (tmp_path / f"{f:02}.csv").write_text(HEADER + "".join(f"{f * 20 + i},2024-01-01,1,x\n" for i in range(20)))
+    lines = scan_ordered(spark, str(tmp_path), TX_INPUT)
+    spark.conf.set("spark.sql.files.minPartitionNum", "40")
+    try:
+        rows = lines.select("seq", "id").orderBy("seq").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert [tuple(r) for r in rows] == [(i + 1, i) for i in range(1200)]
+
+
+def test_intermediates_need_a_shared_folder_on_a_cluster():
+    assert [runs_local(m) for m in ("local", "local[8]", "local[*]")] == [True] * 3
+    assert [runs_local(m) for m in ("local-cluster[3,2,1024]", "spark://host:7077", "yarn")] == [False] * 3
+
+
 def test_replace_and_append(spark, tmp_path):
     df = spark.range(5)
     replace_table(df, str(tmp_path / "t"))
@@ -96,3 +115,11 @@ def test_incremental_load_takes_each_file_once(spark, tmp_path):
     assert {r["id"]: r["reject_code"] for r in rows.where("id in (1, 3, 4)").collect()} == {1: None, 3: None, 4: "monto_no_numerico"}
     # The same natural key came again in a later batch: the first arrival stays.
     assert [r["id_origen"] for r in written_transactions(rows).collect()] == [1]
+
+
+def test_a_batch_too_large_for_its_numbers_raises(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("ledgerq.streaming.incremental._BATCH_ROWS", 3)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text(HEADER + "1,2024-01-01,5,credito\n" * 3)
+    with pytest.raises(Exception, match="lower bytes_per_batch"):
+        load_new_files(spark, str(tmp_path / "in"), TX_INPUT, validate_transactions, str(tmp_path / "out"), str(tmp_path / "state"))
