@@ -6,6 +6,10 @@ end mark. In a word's lattice one arc is the whole word, if the training texts h
 escape, all segmentations into pieces, closed by a stop. The probability of a text is the sum over all paths, a
 forward recursion in log space, which needs to run only once per distinct word.
 
+A text's own word shares aren't those of the corpus: it repeats its subject and keeps to one language. They are drawn from a
+Dirichlet distribution around the corpus shares, with the weight of ``PRIOR`` words, and the score is the marginal over
+all of them: after i words, of which j were w, the next is w with probability (PRIOR * p(w) + j) / (PRIOR + i).
+
 A word seen c times weighs c less ``DISCOUNT``; what is taken off is the escape's weight, so that it is as large
 as new words are frequent. Piece scores start from the vocabulary's own order (the n-th piece weighs 1/n) and are
 estimated by expectation-maximisation, forward and backward, over distinct training words: ``ROUNDS`` rounds on a bounded hash
@@ -35,6 +39,7 @@ from ledgerq.llm.common import cut, mapped, remainder
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 FREQUENT, ROUNDS, SAMPLE, DISCOUNT, LEAST_WEIGHT = 100_000, 4, 20_000, 0.75, 0.01
+PRIOR = 1000.0
 #: Distinct words a task holds before it hands its counts on.
 HELD = 300_000
 
@@ -173,9 +178,24 @@ def _scored(path: str, scores, stop: float, escape: float, total: int):
     return rows
 
 
-def _looked_up(frequent, total: int, distinct: int, ending: tuple[int, float]):
+def repeated(score: float, n: int, prior: float = PRIOR) -> float:
+    """log10 of what n occurrences of a word add to a text's numerator, from the log10 of the word's corpus share."""
+    once = score + math.log10(prior)
+    if n == 1:
+        return once
+    x = prior * 10.0**score
+    return once + (math.lgamma(x + n) - math.lgamma(x + 1)) / math.log(10)
+
+
+def drawn(n: int, prior: float = PRIOR) -> float:
+    """log10 of a text's denominator: n draws, the end included."""
+    return (math.lgamma(prior + n) - math.lgamma(prior)) / math.log(10)
+
+
+def _looked_up(frequent, total: int, distinct: int, ending: tuple[int, float], prior: float):
     scale = math.log10(total + distinct + 1)
     base_end = math.log10(ending[0] + 1) - scale
+    unit = math.log10(prior)
 
     def rows(batches):
         table = frequent.value
@@ -184,7 +204,7 @@ def _looked_up(frequent, total: int, distinct: int, ending: tuple[int, float]):
             offsets = [0]
             for text in batch["_text"]:
                 found = words(text.as_py())
-                known, base, score = int(ending[0] > 0), base_end, ending[1]
+                known, base, score = int(ending[0] > 0), base_end, repeated(ending[1], 1, prior) - drawn(len(found) + 1, prior)
                 for word, n in Counter(found).items():
                     entry = table.get(word)
                     if entry is None:
@@ -193,7 +213,7 @@ def _looked_up(frequent, total: int, distinct: int, ending: tuple[int, float]):
                     else:
                         known += n * entry[0]
                         base += n * entry[1]
-                        score += n * entry[2]
+                        score += entry[2] + unit if n == 1 else repeated(entry[2], n, prior)
                 offsets.append(len(out["rest"]))
                 for c, v in (("n", len(found) + 1), ("known", known), ("base", base), ("score", score)):
                     out[c].append(v)
@@ -222,7 +242,7 @@ def normal(counts: np.ndarray, words_: float) -> tuple[np.ndarray, float]:
 
 
 def document_scores(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None, rounds: int = ROUNDS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None, rounds: int = ROUNDS, prior: float = PRIOR
 ) -> DataFrame:
     """One row per row: key, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
@@ -268,11 +288,16 @@ def document_scores(
     looked_up = cut(
         mapped(
             rows,
-            _looked_up(frequent, total, distinct, (ends, end)),
+            _looked_up(frequent, total, distinct, (ends, end), prior),
             "_id long, _held boolean, _n long, _known long, _base double, _score double, _rest array<struct<word:binary,n:long>>",
         ).withColumn("_row", F.monotonically_increasing_id()),
         "looked-up",
     )
+    # The same as repeated(), as a plain sum: rare words seldom occur often in a text.
+    again = F.when(
+        F.col("n") > 1,
+        F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("n") - 1), F.lit(0.0), lambda a, j: a + F.log10(prior * F.pow(F.lit(10.0), "score") + j)),
+    ).otherwise(0.0)
     rest = (
         looked_up.select("_row", F.explode("_rest").alias("r"))
         .select("_row", "r.word", "r.n")
@@ -281,7 +306,7 @@ def document_scores(
             "_row",
             F.when(F.col("train") > 0, F.col("n")).otherwise(0).alias("_known"),
             (F.col("n") * (F.log10(F.col("train") + 1) - scale)).alias("_base"),
-            (F.col("n") * F.col("score")).alias("_score"),
+            (F.col("score") + math.log10(prior) + again).alias("_score"),
         )
     )
     fixed = looked_up.select("_row", "_known", "_base", "_score", "_id", "_held", "_n")

@@ -145,6 +145,17 @@ def test_rare_words_are_joined_and_score_the_same(spark, monkeypatch):
         assert r.n_known == b.n_known and math.isclose(r.score, b.score, rel_tol=1e-9) and math.isclose(r.base_score, b.base_score, rel_tol=1e-9)
 
 
+def test_repeated_words_by_single_draws():
+    shares, text, prior = {"a": 0.2, "b": 0.01, "c": 1e-7}, "abaacbac", 50.0
+    score, seen = 0.0, {}
+    for i, w in enumerate(text):
+        score += math.log10((prior * shares[w] + seen.get(w, 0)) / (prior + i))
+        seen[w] = seen.get(w, 0) + 1
+    got = sum(lattice_lm.repeated(math.log10(shares[w]), n, prior) for w, n in seen.items()) - lattice_lm.drawn(len(text), prior)
+    assert math.isclose(got, score, rel_tol=1e-12)
+    assert math.isfinite(lattice_lm.repeated(-5000.0, 3))
+
+
 def test_lattice_sums_all_segmentations():
     root = [-1, {}]
     pieces = [b" ", b"a", b"b", b" a", b"ab", b"aba", b"ba"]
