@@ -1,10 +1,11 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products within cells, one kept per group.
 
-Centroids are fitted on a bounded hash sample (``SAMPLE_PER_CELL`` vectors per cell, one cell per square root of
-the rows); every vector is then assigned. Cells alone would lose pairs that a cell border parts, so a vector is
-also shown to each cell of a higher number whose border it is near to: a neighbour at the threshold lies at a
-distance of at most r = sqrt(2 - 2 * threshold), of which a share of about 1/sqrt(dimensions) points across any
-given border; ``REACH`` = 3 takes three times that. ``reach=None`` takes r itself and is exact for any data.
+Centroids are fitted on a bounded hash sample (``SAMPLE_PER_CELL`` vectors per cell, one cell per block or per square
+root of the rows, whichever gives fewer); every vector is then assigned. Cells alone would lose pairs that a cell
+border parts: two vectors at the threshold are at most r = sqrt(2 - 2 * threshold) apart, and their distances to a
+border between them add up to at most that, so one of the two lies within r / 2 of it. A vector is therefore also
+shown to every cell whose border is within r / 2, which is exact for any data. A pair that meets in both cells
+counts in the lower one. ``reach`` = k takes k * r / sqrt(dimensions) for r, where that is less; it loses pairs.
 
 Cells are cut into blocks of bounded size and only counts and one link to a block's root per vector leave a
 comparison, never the pairs. Equal vectors are compared once and counted with their number.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgerq.llm.common import cut, mapped
 from ledgerq.llm.graph import components
 
-THRESHOLD, REACH, BLOCK = 0.95, 3.0, 1024
+THRESHOLD, BLOCK = 0.95, 1024
 SAMPLE_PER_CELL, ROUNDS = 16, 8
 
 
@@ -89,7 +90,7 @@ def _assigner(centres: np.ndarray, reach: float):
     def rows(batches):
         for batch in batches:
             dims = batch["_dim"].to_numpy()
-            of, cell, home = [], [], []
+            of, cell, own_cell, also = [], [], [], [[]] * len(batch["_dim"])
             main = np.flatnonzero(dims == dim)
             if len(main):
                 x = np.stack([batch["_unit"][i].values.to_numpy() for i in main])
@@ -97,15 +98,18 @@ def _assigner(centres: np.ndarray, reach: float):
                 own = np.argmax(scores, axis=1)
                 best = scores[np.arange(len(x)), own]
                 gaps = apart[own] if apart is not None else np.sqrt(np.maximum(2 - 2 * centres[own] @ centres.T, 0))
-                shown = (best[:, None] - scores <= reach * gaps + 1e-12) & (np.arange(len(centres)) > own[:, None])
+                shown = best[:, None] - scores <= reach / 2 * gaps + 1e-8
+                shown[np.arange(len(x)), own] = False
                 i, c = np.nonzero(shown)
                 of += [*main, *main[i]]
                 cell += [*own, *c]
-                home += [True] * len(main) + [False] * len(i)
+                own_cell += [*own, *own[i]]
+                for k, m in enumerate(main):
+                    also[m] = np.flatnonzero(shown[k]).tolist()
             rest = np.flatnonzero(dims != dim)
             of += [*rest]
             cell += [-1] * len(rest)
-            home += [True] * len(rest)
+            own_cell += [-1] * len(rest)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["_node"].take(pa.array(of, pa.int64())),
@@ -113,9 +117,10 @@ def _assigner(centres: np.ndarray, reach: float):
                     batch["_unit"].take(pa.array(of, pa.int64())),
                     batch["_copies"].take(pa.array(of, pa.int64())),
                     pa.array(cell, pa.int32()),
-                    pa.array(home, pa.bool_()),
+                    pa.array(own_cell, pa.int32()),
+                    pa.array([also[i] if c == o else [] for i, c, o in zip(of, cell, own_cell, strict=True)], pa.list_(pa.int32())),
                 ],
-                ["_node", "_dim", "_unit", "_copies", "_cell", "_home"],
+                ["_node", "_dim", "_unit", "_copies", "_cell", "_own", "_also"],
             )
 
     return rows
@@ -123,10 +128,11 @@ def _assigner(centres: np.ndarray, reach: float):
 
 def _block(threshold: float):
     def compare(key, group):
-        dim, _, i, j = (k.as_py() for k in key)
+        dim, cell, i, j = (k.as_py() for k in key)
         group = group.combine_chunks()
         x = np.asarray(pc.list_flatten(group["_unit"]).to_numpy()).reshape(-1, dim)
-        part, home = np.array(group["_part"]), np.array(group["_home"])
+        part, own = np.array(group["_part"]), np.array(group["_own"])
+        home = own == cell
         copies = np.array(group["_copies"])
         n = len(x)
         linked = (x @ x.T) >= threshold
@@ -136,6 +142,17 @@ def _block(threshold: float):
             linked &= part[:, None] != part[None, :]
         else:
             linked &= (part == i)[:, None] & (part == i)[None, :]
+        # What a vector of a lower cell links here is left to that cell if it is shown there.
+        below = np.flatnonzero(own < cell)
+        if len(below):
+            lower, which = np.unique(own[below], return_inverse=True)
+            shown = np.asarray(pc.list_flatten(group["_also"]))
+            row = np.repeat(np.arange(n), np.asarray(pc.list_value_length(group["_also"])))
+            hit = np.isin(shown, lower)
+            meets = np.zeros((n, len(lower)), bool)
+            meets[row[hit], np.searchsorted(lower, shown[hit])] = True
+            linked[:, below] &= ~meets[:, which]
+            linked[below] &= ~meets[:, which].T
         count = linked @ copies
         # Each vector's root within the block: the smallest position that links reach.
         root = np.arange(n)
@@ -163,7 +180,7 @@ def near_vectors(
     key: str = "vec_id",
     vector: str = "embedding",
     threshold: float = THRESHOLD,
-    reach: float | None = REACH,
+    reach: float | None = None,
 ) -> DataFrame:
     """One row per row: key, ``n_links``, ``component_id`` and ``kept`` (key = component_id)."""
     rows = vectors.select(F.col(key).cast("long").alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
@@ -177,7 +194,7 @@ def near_vectors(
     sizes = nodes.groupBy("_dim").count().orderBy(F.desc("count"), "_dim").limit(1).collect()
     if sizes:
         dim, n = sizes[0]
-        cells = max(1, math.isqrt(n))
+        cells = max(1, min(math.isqrt(n), n // BLOCK))
         share = min(1.0, SAMPLE_PER_CELL * cells / n)
         sample = (
             nodes.where((F.col("_dim") == dim) & (F.pmod(F.xxhash64("_node"), 1_000_000) < math.ceil(share * 1_000_000)))
@@ -196,17 +213,24 @@ def near_vectors(
         mapped(
             nodes.select("_node", "_dim", "_unit", "_copies"),
             assign,
-            "_node binary, _dim int, _unit array<double>, _copies long, _cell int, _home boolean",
+            "_node binary, _dim int, _unit array<double>, _copies long, _cell int, _own int, _also array<int>",
         ),
         "cells",
     )
-    split = placed.groupBy("_dim", "_cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    # A cell's own vectors are numbered before those it is shown, which needn't be compared with each other.
+    home = F.col("_own") == F.col("_cell")
+    split = placed.groupBy("_dim", "_cell").agg(
+        F.ceil(F.count(F.when(home, 1)) / BLOCK).cast("int").alias("_homes"),
+        F.ceil(F.count(F.when(~home, 1)) / BLOCK).cast("int").alias("_guests"),
+    )
+    spread = F.xxhash64("_node")
     blocks = (
         placed.join(split, ["_dim", "_cell"])
-        .withColumn("_part", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+        .where("_homes > 0")
+        .withColumn("_part", F.when(home, F.pmod(spread, "_homes")).otherwise(F.col("_homes") + F.pmod(spread, "_guests")).cast("int"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("_homes") + F.when(home, F.col("_guests")).otherwise(0) - 1)).alias("_other"))
         .withColumns({"_x": F.least("_part", "_other"), "_y": F.greatest("_part", "_other")})
-        .select("_dim", "_cell", "_x", "_y", "_node", "_unit", "_copies", "_home", "_part")
+        .select("_dim", "_cell", "_x", "_y", "_node", "_unit", "_copies", "_own", "_also", "_part")
     )
     found = cut(
         blocks.groupBy("_dim", "_cell", "_x", "_y").applyInArrow(_block(threshold), "a binary, b binary, n long"), "found"

@@ -171,6 +171,23 @@ def test_near_vectors_against_all_pairs(spark, monkeypatch):
     assert embedding_dedup.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_near_vectors_that_differ_across_a_border(spark):
+    # Copies along a curve in 64 dimensions: all of a pair's difference can point across a border.
+    rng = np.random.default_rng(4)
+    at = np.sort(rng.uniform(0, 2 * np.pi, 1500))
+    x = np.concatenate([np.cos(at)[:, None], np.sin(at)[:, None], 0.01 * rng.normal(size=(1500, 62))], axis=1)
+    lone = rng.normal(size=(1500, 64))
+    x = np.concatenate([x, lone, lone + 1.2 * np.eye(64)[rng.integers(0, 64, 1500)]])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    links = x @ x.T >= 0.95
+    np.fill_diagonal(links, False)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_vectors(frame).collect()}
+    assert [got[i].n_links for i in range(len(x))] == links.sum(axis=1).tolist()
+    want = roots(zip(*np.nonzero(np.triu(links)), strict=True), range(len(x)))
+    assert {i: r.component_id for i, r in got.items()} == want
+
+
 def plain_best(codec, scores, chunk):
     """The largest sum of scores over all segmentations, by definition."""
     best = [0.0] + [float("-inf")] * len(chunk)
