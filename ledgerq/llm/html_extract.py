@@ -9,6 +9,7 @@ smoothed log counts from labelled pages (``html_pages`` unless others are given)
 Scripts, styles, forms' controls and the like are no text at any marginal. Character references are decoded, white space in a
 block becomes one space, blocks follow in page order, one line each; a line break element is white space. A tag cut off by
 the end of the page is dropped, as browsers do. Null and empty pages have an empty text; elements nest to any depth.
+A head without an end tag ends at the first text or start tag that it can't hold; self-closed svg and math elements are empty.
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ _BLOCK = frozenset(
     "h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table caption tbody td tfoot th "
     "thead tr ul".split()
 )
+#: What an open head may hold; text or any other start tag ends it.
+_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+_FOREIGN = frozenset(["svg", "math"])
 _ENDS_P = _BLOCK - frozenset("td th tr tbody thead tfoot caption html body legend summary".split())
 #: An element of these kinds ends an open one of the same group, up to the nearest boundary.
 _IMPLIED = (
@@ -71,6 +75,8 @@ _GOOD_WORDS = re.compile(r"(?<![a-z])(?:article|content|post|entry|story|main|bo
 _markup = re.compile(r"<(?:!--(.*?)(?:--!?>|\Z)|([/]?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([!?/][^>]*)>)", re.S)
 _cut_off = re.compile(r"<[a-zA-Z/!?][^>]*\Z", re.S)
 _attribute = re.compile(r"(?:^|[\s/\"'])(class|id|role|data-y|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?(?=[\s/>]|$)", re.I)
+_quoted = re.compile(r"\"[^\"]*\"|'[^']*'")
+_slash_in_value = re.compile(r"=\s*[^\s\"'][^\s]*\Z")
 _stop = re.compile(r"[.!?…,;:]")
 _space = re.compile(r"[ \t\n\r\f\v\u0085   -     　]+")
 
@@ -102,6 +108,11 @@ def _attributes(source: str) -> tuple[str, int | None]:
     return ("good" if _GOOD_WORDS.search(found) else "none" if not found else "other"), label
 
 
+def _self_closed(attributes: str) -> bool:
+    """Whether a start tag ends with a slash that isn't the end of an unquoted value."""
+    return attributes.endswith("/") and not _slash_in_value.search(_quoted.sub('""', attributes))
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block elements in page order and the blocks of text: (node, raw text)."""
     nodes = [Node(-1, "page", "none", 0)]
@@ -114,6 +125,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
 
     def text(piece: str) -> None:
         nonlocal fresh
+        if stack[-1][0] == "head" and piece.strip():
+            close(len(stack) - 1)
         owner = stack[-1][1]
         if owner < 0 or not piece:
             return
@@ -158,6 +171,18 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if name in ("html", "body") and any(n == name for n, _ in stack):
             continue
+        if name == "head" and any(n not in ("#page", "html") for n, _ in stack):
+            continue
+        if stack[-1][0] == "head" and name not in _HEAD:
+            close(len(stack) - 1)
+        elif name == "body":
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth][0] == "head":
+                    close(depth)
+                    break
+        # In foreign content a slash closes any element.
+        if _self_closed(attributes) and (name in _FOREIGN or any(n in _FOREIGN for n, _ in stack)):
+            continue
         if name in _ENDS_P:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == "p":

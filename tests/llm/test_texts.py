@@ -260,3 +260,24 @@ def test_pages_of_all_kinds(spark):
     got = QUERIES["op1_html_extraction"](spark, SMALL)
     assert got.count() == 50 and got.where("text = ''").isEmpty()
     assert got.where("text like '%&copy;%' or text like '%track(%' or text like '%©%'").isEmpty()
+
+
+def test_open_heads_and_self_closed_elements_hide_no_text(spark):
+    story = "<article><h1>Salt</h1><p>The first wall fell in spring, and nobody wept.</p></article>"
+    want = "Salt\nThe first wall fell in spring, and nobody wept."
+    weights = html_extract.learn(html_extract.built_in(spark))
+    for start in (
+        "<html><head><title>x</title><body>",
+        "<html><head><title>x</title><noscript><img src=t></noscript><script>var a</script>",
+        "<head><meta charset=utf-8><body>",
+        "<html><head></head><body>",
+    ):
+        assert html_extract.extract(start + story, weights) == want
+    assert html_extract.parse("<head><title>x</title> Plain text")[1] == [(0, " Plain text")]
+    # Text in a head's own elements stays hidden.
+    assert html_extract.parse("<head><title>x</title><noscript>y</noscript><style>z</style></head>")[1] == []
+    for mark in ('<svg width="1"/>', "<svg/>", "<svg hidden />", "<math />", "<svg a='b=c'/>", "<svg><title/><path d='x'/></svg>", "<svg><g/></svg>"):
+        assert html_extract.parse(f"<p>{mark}Seen.</p>")[1] == [(1, "Seen.")]
+    # Here the slash belongs to the value, as in browsers, and on other elements it means nothing.
+    assert html_extract.parse("<p><svg width=1/>hidden</svg>Seen.</p>")[1] == [(1, "Seen.")]
+    assert html_extract.parse("<div/>Seen.")[1] == [(1, "Seen.")]
