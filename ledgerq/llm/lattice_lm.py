@@ -12,8 +12,8 @@ all of them: after i words, of which j were w, the next is w with probability (P
 
 A word seen c times weighs c less ``DISCOUNT``; what is taken off is the escape's weight, so that it is as large
 as new words are frequent. Piece scores start from the vocabulary's own order (the n-th piece weighs 1/n) and are
-estimated by expectation-maximisation, forward and backward, over distinct training words: ``ROUNDS`` rounds on a bounded hash
-sample of about ``SAMPLE`` words, then one over all. Every byte is a piece and keeps a little weight, so any text has
+estimated by expectation-maximisation, forward and backward, over all distinct training words: ``ROUNDS`` rounds and a last one.
+Every byte is a piece and keeps a little weight, so any text has
 a probability above zero.
 
 Word counts come from all training texts. Words are looked up where the texts are, if they are among the ``FREQUENT`` most
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from ledgerq.llm.common import cut, mapped, remainder
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-FREQUENT, ROUNDS, SAMPLE, DISCOUNT, LEAST_WEIGHT = 100_000, 4, 20_000, 0.75, 0.01
+FREQUENT, ROUNDS, DISCOUNT, LEAST_WEIGHT = 100_000, 4, 0.75, 0.01
 PRIOR = 1000.0
 #: Distinct words a task holds before it hands its counts on.
 HELD = 300_000
@@ -264,15 +264,13 @@ def document_scores(
     scores, stop = normal(1.0 / np.arange(1, size + 1) * max(types, 1), types / 4)
     if types:
         train = counted.where("train > 0").select("word")
-        share = min(1.0, SAMPLE / types)
-        sample = cut(train.where(F.pmod(F.xxhash64("word"), 1_000_000) < math.ceil(share * 1_000_000)), "word-sample")
-        for some in [sample] * rounds + [train]:
+        for _ in range(rounds + 1):
             found, sent = np.zeros(size), spark.sparkContext.broadcast(scores)
             # One row per piece of the vocabulary at most.
-            expected = mapped(some, _expected(path, sent), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
+            expected = mapped(train, _expected(path, sent), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
             found[expected["piece"].to_numpy()] = expected["n"].to_numpy()
             # Every word stops once.
-            scores, stop = normal(found, types if some is train else types * share)
+            scores, stop = normal(found, types)
             sent.destroy()
     end = math.log10((ends + 1) / (total + 2))
     escape = math.log((DISCOUNT * types + 1) / (total + 2))

@@ -181,6 +181,34 @@ def test_lattice_sums_all_segmentations():
     assert np.allclose(counts, np.array(expected) / total)
 
 
+def test_every_round_sees_all_training_words(spark):
+    # More than 20,000 distinct words, dealt out to texts of 500.
+    parts = ["ba", "ke", "lo", "mi", "nu", "ra", "se", "ti", "vo", "zu", "qx", "jy", "wh"]
+    vocabulary = [a + b + c + d for a in parts for b in parts for c in parts for d in parts][:28_500]
+    rows = [(i, " ".join(vocabulary[500 * i : 500 * i + 500])) for i in range(57)]
+    root = lattice_lm.tree(public_tokenizers.path(lattice_lm.VOCABULARY))
+    size = len(lattice_lm.pieces(public_tokenizers.path(lattice_lm.VOCABULARY)))
+    train = [w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in lattice_lm.words(t)]
+    assert len(train) > 20_000
+    scores, stop = lattice_lm.normal(1.0 / np.arange(1, size + 1) * len(train), len(train) / 4)
+    for _ in range(lattice_lm.ROUNDS + 1):
+        counts = [0.0] * size
+        plain = scores.tolist()
+        for word in train:
+            lattice_lm.expect(root, plain, b" " + word, counts)
+        scores, stop = lattice_lm.normal(np.array(counts), len(train))
+    ends = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows)
+    escape = math.log((lattice_lm.DISCOUNT * len(train) + 1) / (len(train) + ends + 2))
+    unknown = next((i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 == 2)
+    want = lattice_lm.repeated(math.log10((ends + 1) / (len(train) + ends + 2)), 1) - lattice_lm.drawn(501)
+    plain = scores.tolist()
+    for word in lattice_lm.words(unknown[1]):
+        share = lattice_lm.forward(root, plain, b" " + word)[-1] + stop + escape
+        want += lattice_lm.repeated(share / math.log(10), 1)
+    got = {r.doc_id: r.score for r in lattice_lm.document_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert math.isclose(got[unknown[0]], want, rel_tol=1e-9)
+
+
 def test_document_scores_of_odd_rows(spark, odd, none):
     rows = lattice_lm.document_scores(odd).collect()
     assert len(rows) == len(ODD)
