@@ -24,7 +24,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerq.llm.common import WordHashes, cut, mapped, mix64
@@ -236,6 +236,11 @@ def _aligned(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def _node(text: Column) -> Column:
+    """The digest of a text; that of the empty text if it has no word."""
+    return F.unhex(F.md5(F.when(text.rlike(r"[^ \t\n\x0B\f\r]"), text).otherwise("")))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(nodes, groups) of a table of texts.
 
@@ -245,7 +250,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.select(
         F.col(key).alias("_id"),
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
-        F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("_node"),
+        _node(F.col(text)).alias("_node"),
     )
     sketched = cut(mapped(rows, _sketches, "_id long, _node binary, _n long, _s array<long>"), "sketches")
     texts = cut(
@@ -344,7 +349,7 @@ def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     _, groups = near_duplicates(numbered.select(key, text), key, text)
     named = (
         numbered.select(
-            F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("_node"), F.col(key).alias("_id"), "_row_number_"
+            _node(F.col(text)).alias("_node"), F.col(key).alias("_id"), "_row_number_"
         )
         .join(groups, "_node", "left")
         .select(F.coalesce("_root", "_node").alias("_root"), F.struct(F.col("_id").isNull().alias("n"), "_id", "_row_number_").alias("_k"))

@@ -141,6 +141,13 @@ def test_near_texts_of_odd_rows(spark):
     assert order_minhash.classes(alone).first().kept
 
 
+def test_texts_without_a_word_are_one_group(spark):
+    texts = ["", None, " ", "\n", "\t\x0b\f\r", "a", "\u00a0"]
+    docs = spark.createDataFrame([(i, t, *[None] * 4) for i, t in enumerate(texts)], DOCS)
+    assert {r.doc_id: r.class_id for r in order_minhash.classes(docs).collect()} == dict(enumerate([0, 0, 0, 0, 0, 5, 6]))
+    assert sorted(r.doc_id for r in order_minhash.distinct_documents(docs).collect()) == [0, 5, 6]
+
+
 def vectors(spark, seed=2, dim=16):
     rng = np.random.default_rng(seed)
     base = rng.normal(size=(60, dim))
