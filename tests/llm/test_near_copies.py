@@ -345,6 +345,11 @@ def test_pipeline_stages(spark):
     check_packed(rows, {r.doc_id: r.text for r in docs.collect()})
 
 
+def test_texts_that_languages_share_stay_in_the_pipeline(spark):
+    docs = spark.createDataFrame([(i, "taxi radio hotel", lang, None, None, None) for i, lang in enumerate(["de", "en", "es"] * 10)], DOCS)
+    assert corpus_pipeline.STAGES[0][1](spark, docs, SMALL).count() == 30
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, None, None, None, "z"), (2, "", "en", "s", 0, "z"), (3, "12", "en", "s", 2, "z")], DOCS)
     for frame in (docs, docs.limit(0)):
