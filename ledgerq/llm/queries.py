@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerq.llm import (
     embedding_dedup,
+    fill_middle,
     html_extract,
     language_id,
     lattice_lm,
@@ -65,6 +66,11 @@ def near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return fill_middle.digests(made).drop("output")
+
+
 QUERIES = {
     "op1_html_extraction": html_extraction,
     "op2_quality_classifier": quality_classifier,
@@ -76,6 +82,7 @@ QUERIES = {
     "op8_warc": archives,
     "op9_packing": packed,
     "op10_minhash_dedup": near_texts,
+    "op13_fill_in_middle": fill_in_middle,
 }
 
 ORACLES = {
@@ -89,4 +96,28 @@ ORACLES = {
             from (select *, sha256(coalesce(html, '')) as d from pages)
         )
     """,
+    "op13_fill_in_middle": """
+        with hashed as (
+            select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as d,
+                regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u
+            from documents
+        ), drawn as (
+            select *, len(u) as n, ('0x' || d[1:8])::ubigint % (len(u) + 1) as c1, ('0x' || d[9:16])::ubigint % (len(u) + 1) as c2,
+                case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                        or ('0x' || d[17:24])::ubigint % 100 >= 90 then 'plain'
+                    when ('0x' || d[25:32])::ubigint % 100 < 20 then 'spm' else 'psm' end as form
+            from hashed
+        ), parts as (
+            select *, array_to_string(list_slice(u, 1, least(c1, c2)), '') as p,
+                array_to_string(list_slice(u, least(c1, c2) + 1, greatest(c1, c2)), '') as m,
+                array_to_string(list_slice(u, greatest(c1, c2) + 1, n), '') as s
+            from drawn
+        )
+        select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+            case when form <> 'plain' then length(m) end as middle_chars,
+            sha256(case form when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m else t end) as output_sha256,
+            sha256(t) as restored_sha256
+        from parts
+    """,
 }
