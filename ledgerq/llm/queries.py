@@ -15,6 +15,7 @@ from ledgerq.llm import (
     quality_model,
     quality_rules,
     sentencepiece_codec,
+    spelling_groups,
     warc,
 )
 from ledgerq.llm.common import prepare, table
@@ -66,6 +67,10 @@ def near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.groups(table(spark, sf_dir, "documents"))
+
+
 def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     return fill_middle.digests(made).drop("output")
@@ -82,6 +87,7 @@ QUERIES = {
     "op8_warc": archives,
     "op9_packing": packed,
     "op10_minhash_dedup": near_texts,
+    "op11_spelling_groups": spelling_variants,
     "op13_fill_in_middle": fill_in_middle,
 }
 
@@ -96,6 +102,43 @@ ORACLES = {
             from (select *, sha256(coalesce(html, '')) as d from pages)
         )
     """,
+    "op11_spelling_groups": """
+        with recursive crc as (
+            select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, z: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) order by i) as t
+            from (select unnest(range(256)) as i)
+        ), runs as (
+            select doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as r
+            from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as r from documents)
+        ), counted as (select doc_id, r, count(*) as n from runs where length(r) >= 7 group by doc_id, r), hashed as (
+            select r, n, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(doc_id || ':' || r, ''),
+                lambda a: case when ord(a) < 128 then [ord(a)::bigint] else [195, ord(a)::bigint - 64] end)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as h
+            from counted, crc
+        ), words as (
+            select w as word, sum(n)::bigint as n
+            from (select case when h % 31 = 0 then left(r, h % length(r)) || substr(r, h % length(r) + 2) else r end as w, n
+                from hashed)
+            where length(w) >= 7 group by w having sum(n) >= 2
+        ), less as (
+            select word, n, i, left(word, i - 1) || substr(word, i + 1) as v
+            from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+        ), near as (
+            select a.word, b.word as other, b.n as m from less a join less b on a.v = b.v and a.i = b.i and a.word <> b.word
+            union select a.word, b.word, b.n from words a join less b on a.word = b.v
+            union select b.word, a.word, a.n from words a join less b on a.word = b.v
+        ), best as (
+            select word, count(*) as n_near, first(other order by m desc, other) as best, max(m) as best_n from near group by word
+        ), forms as (
+            select w.word, n, coalesce(n_near, 0) as n_near, case when best_n >= 10 * n then best end as form,
+                case when best_n >= 10 * n then best_n end as form_n
+            from words w left join best using (word)
+        ), chain as (
+            select word, word as root, 0 as steps from forms
+            union all select c.word, f.form, steps + 1 from chain c join forms f on c.root = f.word where f.form is not null
+        ), ends as (select word, arg_max(root, steps) as root from chain group by word)
+        select word, form, root, n, n_near, form_n from forms join ends using (word)
+    """,
     "op13_fill_in_middle": """
         with hashed as (
             select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as d,

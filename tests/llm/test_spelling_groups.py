@@ -1,0 +1,147 @@
+"""Spelling variants against brute force: counts, near words, forms and roots, with hot heads and odd input."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from compare import both, duck
+
+from ledgerq.llm import spelling_groups
+from ledgerq.llm.queries import ORACLES, QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def plain_words(rows):
+    counts = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(UPPER)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 7:
+                counts[run] += 1
+    return {w: n for w, n in counts.items() if n >= 2}
+
+
+def is_near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_groups(words):
+    out, form = {}, {}
+    near = {w: [v for v in words if v != w and is_near(w, v)] for w in words}
+    for w, n in words.items():
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 10 * n else None
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, n, len(near[w]), form[w] and words[form[w]])
+    return out
+
+
+def got_groups(spark, rows, **options):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = spelling_groups.groups(docs, **options).collect()
+    assert len({r["word"] for r in found}) == len(found)
+    return {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in found}
+
+
+def test_search_finds_each_near_word_once():
+    """Small alphabets, so that runs of one letter cross the middle of words."""
+    rng = random.Random(3)
+    for alphabet in ("ab", "abé", "a") * 8:
+        words = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(7, 11))) for _ in range(90)})
+        read = [w for w in words if rng.random() < 0.7] or words[:1]
+        found = Counter()
+        for right in (True, False):
+            turn = (lambda w: w) if right else (lambda w: w[::-1])
+            flat, _ = spelling_groups._flat([turn(w)[::-1] for w in read], True)
+            symbols, length = spelling_groups._flat([turn(w) for w in words], False)
+            letters = np.unique(np.concatenate([flat, symbols]))
+            index = spelling_groups.SuffixRanks(np.searchsorted(letters, flat), len(letters) - 1)
+            exact = length // 2 if right else length - length // 2
+            q, w = spelling_groups.one_error(index, np.searchsorted(letters, symbols), np.cumsum(length) - length, length, exact)
+            pairs = [(words[a], read[b]) for a, b in zip(q, w, strict=True)]
+            assert len(set(pairs)) == len(pairs)
+            found.update(p for p in pairs if right or p[0][: len(p[0]) // 2] != p[1][: len(p[0]) // 2])
+        assert found == Counter((a, b) for a in words for b in read if a != b and is_near(a, b))
+
+
+def test_suffix_ranks_spell_the_words():
+    words = ["banana", "ananas", "nab", "b"]
+    flat, _ = spelling_groups._flat([w[::-1] for w in words], True)
+    letters = np.unique(flat)
+    index = spelling_groups.SuffixRanks(np.searchsorted(letters, flat), len(letters) - 1)
+    for number, word in enumerate(words):
+        low, high = np.zeros(1, np.int64), np.full(1, len(words))
+        for c in word:
+            low, high = index.grow(np.searchsorted(letters, [ord(c)]), low, high)
+        hit, found = index.whole(low, high)
+        assert (hit.tolist(), found.tolist()) == ([0], [number])
+
+
+def variants(rng, base, times):
+    """Texts with a frequent word, rarer variants of it, and variants of those."""
+    out = [base] * times
+    for w, n in ((base, times // 12), (base, 3), (base[:-1] + "z", 2)):
+        at = rng.randrange(len(w))
+        out += [w[:at] + rng.choice("xqü") + w[at + rng.randrange(2) :]] * n
+    return out
+
+
+@pytest.mark.parametrize("block", [16_384, 20])
+def test_groups_against_all_pairs(spark, block):
+    """A third of all words share their head, another third their tail; a block of 20 words cuts both."""
+    rng = random.Random(8)
+    stem = lambda n: "".join(rng.choice("aeinrst") for _ in range(n))
+    words = []
+    for i in range(40):
+        words += variants(rng, "hot" + stem(rng.randint(4, 7)), rng.choice((2, 40, 300)))
+        words += variants(rng, stem(rng.randint(4, 7)) + "tail", rng.choice((2, 40)))
+        words += variants(rng, stem(8), 24) if i % 3 == 0 else []
+    rng.shuffle(words)
+    rows = [(i, " ".join(words[i::150])) for i in range(150)]
+    rows += [(None, "×÷ÀÿAbCdE ×÷Àÿabcde"), (7, None), (8, ""), (9, "!?"), (10, "short runs only")] + rows[:3]
+    want = plain_groups(plain_words(rows))
+    assert got_groups(spark, rows, block=block) == want
+    assert sum(v[0] is not None for v in want.values()) > 40
+    assert any(v[1] != v[0] and v[0] for v in want.values()), "no chain of forms"
+
+
+def test_ties_go_to_the_smaller_word(spark):
+    rows = [(1, "abcdefg " * 30), (2, "abcdefh " * 30), (3, "abcdefi " * 3)]
+    assert got_groups(spark, rows)["abcdefi"] == ("abcdefg", "abcdefg", 3, 2, 30)
+
+
+def test_very_long_words_and_texts(spark):
+    long = "ab" * 3000
+    text = f"{long} " * 2 + f"{long[:-1]}c " * 2 + "filler " * 50_000 + f"{long[1:]} " * 25
+    rows = [(1, text)]
+    want = plain_words(rows)
+    got = got_groups(spark, rows)
+    assert {w: v[2] for w, v in got.items()} == want
+    assert len(got) == 3
+    assert sorted((len(w), w[-1], v[3]) for w, v in got.items()) == [(5999, "b", 1), (6000, "b", 2), (6000, "c", 1)]
+
+
+def test_clashing_names_key_types_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "wordword wordword", "x", 5)], "doc_id int, text string, word string, n int")
+    assert [tuple(r) for r in spelling_groups.groups(docs).collect()] == [("wordword", None, "wordword", 2, 0, None)]
+    assert spelling_groups.groups(docs.where("false")).count() == 0
+    assert spelling_groups.groups(docs.selectExpr("doc_id", "cast(null as string) as text")).count() == 0
+
+
+def test_query_is_its_sql(spark):
+    got, want = both(spark, duck(SMALL), QUERIES["op11_spelling_groups"], ORACLES["op11_spelling_groups"], SMALL)
+    assert got == want
