@@ -16,6 +16,7 @@ from ledgerq.llm import (
     quality_rules,
     sentencepiece_codec,
     spelling_groups,
+    vector_graph,
     warc,
 )
 from ledgerq.llm.common import prepare, table
@@ -71,6 +72,11 @@ def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups.groups(table(spark, sf_dir, "documents"))
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_graph.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     return fill_middle.digests(made).drop("output")
@@ -88,6 +94,7 @@ QUERIES = {
     "op9_packing": packed,
     "op10_minhash_dedup": near_texts,
     "op11_spelling_groups": spelling_variants,
+    "op12_nearest_vectors": nearest_vectors,
     "op13_fill_in_middle": fill_in_middle,
 }
 
