@@ -288,7 +288,9 @@ def build(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", k:
     rows = cut(rows, "vectors")
     shards = rows.where("_place = 1").groupBy("_dim").agg(F.ceil(F.count(F.lit(1)) / shard).alias("_shards"))
     dealt = rows.join(shards, "_dim").withColumn("_shard", F.pmod("_a", "_shards"))
-    return dealt.groupBy("_dim", "_shard").applyInArrow(_built, INDEX)
+    # A shard is few bytes and much work: as many tasks as shards, whatever size Spark would make them.
+    tasks = max(1, shards.agg(F.sum("_shards")).first()[0] or 1)
+    return dealt.repartition(int(tasks), "_dim", "_shard").groupBy("_dim", "_shard").applyInArrow(_built, INDEX)
 
 
 def search(
