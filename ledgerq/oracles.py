@@ -131,7 +131,9 @@ _STATEMENT = ["cuenta_id", "anio", "total_depositos", "total_retiros", "total_co
 _LINE = "id || ',' || fecha || ',' || monto || ',' || trim(tipo)"
 _BAD_LINES = f"""bad AS (SELECT id, CASE WHEN id % 11 = 3 THEN id || ',' || fecha WHEN id % 13 = 3 THEN {_LINE} || ',sobra'
   WHEN id % 17 = 3 THEN 'x' || {_LINE} END AS line, id % 11 <> 3 AND id % 13 <> 3 AND id % 17 <> 3 AND id % 19 = 3 AS comment
-  FROM tx_raw)"""
+  FROM tx_raw),
+blank AS (SELECT CASE WHEN id % 23 = 3 THEN '' ELSE '  ' END AS line FROM bad
+  WHERE line IS NULL AND NOT comment AND (id % 23 = 3 OR id % 29 = 3))"""
 _TX_REASON = """CASE code WHEN 'fecha_vacia' THEN 'Fecha vacia o nula'
     WHEN 'fecha_invalida' THEN 'Formato de fecha no reconocido: ''' || f || ''''
     WHEN 'monto_vacio' THEN 'Transaccion id=' || id || ': monto vacio o nulo, no se puede procesar'
@@ -158,10 +160,12 @@ ORACLES: dict[str, str] = {
     "csv_malformed": _with(
         f"{_TX}, {_BAD_LINES}",
         "SELECT 'read' AS reject_phase, 'linea_malformada' AS reject_code, "
-        "'linea con formato incorrecto: ' || line AS reject_reason FROM bad WHERE line IS NOT NULL",
+        "'linea con formato incorrecto: ' || line AS reject_reason FROM "
+        "(SELECT line FROM bad WHERE line IS NOT NULL UNION ALL SELECT line FROM blank)",
     ),
     "csv_row_numbers": _with(
-        f"{_TX}, {_BAD_LINES}, n AS (SELECT count(*) AS n, count(line) AS m, count(*) FILTER (WHERE line LIKE 'x%') AS x FROM bad WHERE NOT comment)",
+        f"{_TX}, {_BAD_LINES}, n AS (SELECT count(*) AS n, count(line) AS m, count(*) FILTER (WHERE line LIKE 'x%' OR trim(line) = '') AS x "
+        "FROM (SELECT line FROM bad WHERE NOT comment UNION ALL SELECT line FROM blank))",
         "SELECT n AS filas, cast(1 AS bigint) AS primera, n AS ultima, cast(n * (n + 1) // 2 AS bigint) AS suma, "
         "m AS malformadas, n - x AS con_clave FROM n",
     ),

@@ -69,7 +69,7 @@ def transactions_csv(spark: SparkSession, sf: str) -> str:
 
 
 def damaged_csv(spark: SparkSession, sf: str) -> str:
-    """The same with short lines, long lines, keys that are no number, and comment lines."""
+    """The same with short lines, long lines, keys that are no number, comment lines and blank lines."""
     path = fresh_path(spark, "damaged-csv")
     line = F.concat_ws(",", F.col("id").cast("string"), "fecha", "monto", F.trim("tipo"))
     key = F.col("id")
@@ -78,6 +78,8 @@ def damaged_csv(spark: SparkSession, sf: str) -> str:
         .when(key % 13 == 3, F.concat(line, F.lit(",sobra")))
         .when(key % 17 == 3, F.concat(F.lit("x"), line))
         .when(key % 19 == 3, F.concat(F.lit("#"), line))
+        .when(key % 23 == 3, F.concat(line, F.lit("\n")))
+        .when(key % 29 == 3, F.concat(line, F.lit("\n  ")))
         .otherwise(line)
     )
     # Written as plain text, with the header in front of the first line of each file.

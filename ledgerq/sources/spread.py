@@ -1,17 +1,16 @@
-"""Use every core when an input comes in fewer splits than there are cores."""
+"""Use every core on an input that comes in one split."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, scanned: DataFrame | None = None) -> DataFrame:
-    """Hand the rows out to all cores if the scan has too few splits for them, else leave ``df`` be.
+def spread(df: DataFrame) -> DataFrame:
+    """Hand the rows of a scan that has a single split out to all cores; leave any other as it is.
 
-    The row rules cost far more than a read, and one small or unsplittable file would put them all
-    in one task. An input of many splits, which any large one is, gets no shuffle here.
-    ``scanned`` is the bare scan under ``df``; counting its splits plans a read and runs nothing.
+    The row rules cost far more than a read, and one small file, or a compressed one that cannot be split, would
+    put them all in one task. Only such a file is dealt out: no input of several splits is shuffled here,
+    whatever the number of cores. Counting the splits plans a read and runs nothing.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = (df if scanned is None else scanned).rdd.getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    single = df.rdd.getNumPartitions() == 1
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if single else df

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerq.sources.delimited import FILE_POSITION, OPTIONS, number_rows, with_malformed
+from ledgerq.sources.delimited import FILE_POSITION, number_rows, parsed, placed
 from ledgerq.sources.workspace import cut
 
 _BATCH_ROWS = 1 << 40  # seq has room for so many rows in a batch
@@ -32,18 +32,16 @@ def load_new_files(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = number_rows(cut(batch.withColumn("_row", F.monotonically_increasing_id()), "lines"))
+        rows = number_rows(cut(parsed(placed(batch), schema), "lines"))
         full = F.raise_error(F.lit("too many rows in a batch; lower bytes_per_batch")).cast("long")
         seq = F.when(F.col("seq") < _BATCH_ROWS, F.col("seq") + F.lit(batch_id * _BATCH_ROWS)).otherwise(full)
         rows = rows.withColumn("seq", seq)
         validate(rows).write.mode("overwrite").parquet(f"{target}/lote={batch_id}")
 
     query = (
-        spark.readStream.schema(with_malformed(schema))
-        .options(**OPTIONS)
-        .option("maxBytesPerTrigger", bytes_per_batch)
-        .csv(source)
-        .selectExpr(*FILE_POSITION, "*")
+        spark.readStream.option("maxBytesPerTrigger", bytes_per_batch)
+        .text(source)
+        .selectExpr(*FILE_POSITION, "value")
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -28,12 +28,12 @@ def test_good_and_bad_lines(spark, tmp_path):
         encoding="utf-8",
     )
     rows = scan_ordered(spark, str(tmp_path / "a.csv"), TX_INPUT).orderBy("seq").collect()
-    assert [r["seq"] for r in rows] == [1, 2, 3, 4, 5, 6]
-    assert [r[CORRUPT] is not None for r in rows] == [False, True, True, True, False, False]
-    assert [rows[i]["id"] for i in (0, 4, 5)] == [1, None, 5]
-    assert rows[4]["tipo"] == 'say "x"'
+    assert [r["seq"] for r in rows] == [1, 2, 3, 4, 5, 6, 7]
+    assert [r[CORRUPT] for r in rows] == [None, "2,2024-01-01", "3,2024-01-01,1,x,more", "four,2024-01-01,1,x", "", None, None]
+    assert [rows[i]["id"] for i in (0, 5, 6)] == [1, None, 5]
+    assert rows[5]["tipo"] == 'say "x"'
     codes = [r["reject_code"] for r in validate_transactions(scan_ordered(spark, str(tmp_path), TX_INPUT)).orderBy("seq").collect()]
-    assert codes == [None, "linea_malformada", "linea_malformada", "linea_malformada", "nulo:id_origen", "monto_vacio"]
+    assert codes == [None, *["linea_malformada"] * 4, "nulo:id_origen", "monto_vacio"]
     assert accepted_transactions(validate_transactions(scan_ordered(spark, str(tmp_path), TX_INPUT))).first()["tipo"] == "A,B"
 
 
@@ -43,6 +43,36 @@ def test_malformed_lines_are_seen_whatever_columns_are_read(spark, tmp_path):
     assert [r[CORRUPT] is not None for r in lines.orderBy("id").collect()] == [False, True, True]
 
 
+def test_every_physical_line_is_a_row(spark, tmp_path):
+    """Blank lines in any place, comments before the header, other line ends, an unclosed quote, and files without rows."""
+    (tmp_path / "a.csv").write_bytes(b"# made by hand\n" + HEADER.encode() + b"\n1,2024-01-01,1,x\r\n\r\n   \n\t\n2,2024-01-01,1,x\n\n\n")
+    (tmp_path / "b.csv").write_text(HEADER)
+    (tmp_path / "c.csv").write_text("")
+    (tmp_path / "d.csv").write_text("\n3,2024-01-01,1,x\n")  # its header is blank
+    (tmp_path / "e.csv").write_text(HEADER + '4,2024-01-01,1,"x\n5,2024-01-01,1,x\n#\n')
+    rows = scan_ordered(spark, str(tmp_path), TX_INPUT).orderBy("seq").collect()
+    assert [r["seq"] for r in rows] == list(range(1, len(rows) + 1))
+    assert [r["id"] for r in rows] == [None, 1, None, None, None, 2, None, None, 3, 4, 5]
+    assert [r[CORRUPT] for r in rows] == ["", None, "", "   ", "\t", None, "", "", None, None, None]
+
+
+def test_blank_lines_across_splits(spark, tmp_path):
+    """A third of all lines are blank; files are cut into splits, some of which begin or end with blank lines."""
+    for name in "ab":
+        lines = [f"{i},2024-01-01,1,{'x' * (i % 50)}" + ("\n" if i % 2 else "") for i in range(2000)]
+        (tmp_path / f"{name}.csv").write_text(HEADER + "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = scan_ordered(spark, str(tmp_path), TX_INPUT).orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r["seq"] for r in rows] == list(range(1, 6001))
+    want = [v for i in range(2000) for v in ([i, None] if i % 2 else [i])] * 2
+    assert [r["id"] for r in rows] == want
+    assert [r[CORRUPT] == "" for r in rows] == [v is None for v in want]
+
+
 def test_utf8_text(spark, tmp_path):
     (tmp_path / "m.csv").write_text("cuenta_id,fecha,transaccion,monto,descripcion\n1,2024-01-01,depósito,5,ñandú\n", encoding="utf-8")
     row = scan(spark, str(tmp_path), MOV_INPUT).first()
