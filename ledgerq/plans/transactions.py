@@ -73,14 +73,15 @@ def accepted_transactions(validated: DataFrame) -> DataFrame:
     )
 
 
-def written_transactions(validated: DataFrame) -> DataFrame:
+def written_transactions(validated: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """The detail table: the first arrival of each (date, stored amount, type)."""
-    return first_arrivals(accepted_transactions(validated), TX_KEY).select(*TX_TABLE.names)
+    kept = first_arrivals(accepted_transactions(validated), TX_KEY, repeated=repeated)
+    return kept.select(*TX_TABLE.names)
 
 
-def written_by_range(validated: DataFrame, points: list[int]) -> DataFrame:
+def written_by_range(validated: DataFrame, points: list[int], repeated: DataFrame | None = None) -> DataFrame:
     """The same detail table with the input range each row came from, for a layout by range."""
-    kept = first_arrivals(accepted_transactions(validated), TX_KEY)
+    kept = first_arrivals(accepted_transactions(validated), TX_KEY, repeated=repeated)
     return kept.select(*TX_TABLE.names, range_of(points).alias("particion"))
 
 

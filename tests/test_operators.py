@@ -135,3 +135,16 @@ def test_serial_uniqueness_is_that_of_a_replay(spark, accounts, keys, with_store
 def test_nothing_shared_means_nothing_turned_away(spark):
     df = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 2, "c")], "seq long, cuenta long, nombre string")
     assert settle(df, None, "cuenta", ["nombre"], 10).where(~F.col("conserva")).isEmpty()
+
+
+def test_first_arrivals_aggregate_keys_only(spark):
+    """No row is sorted or aggregated as a whole; winners and losers share one written shuffle of keys."""
+    rows = hot_rows(300)
+    df = spark.createDataFrame(rows, "seq long, k string, v string")
+    plan = first_arrivals(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    repeated = spark.createDataFrame(repeated_keys(df, ["k"]).collect(), "k string, _kept long")
+    first = first_arrivals(df, ["k"], repeated=repeated)
+    late = late_arrivals(df, ["k"], repeated).drop("_kept")
+    assert sorted(map(tuple, first.unionByName(late).collect())) == sorted(rows)
+    assert first.groupBy("k").count().where("count > 1").isEmpty()
