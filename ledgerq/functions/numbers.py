@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(15, 2)  # at rest
 TOTAL = T.DecimalType(18, 2)  # in reports
+WIDE_TOTAL = T.DecimalType(38, 2)  # while it is not known whether a total fits its report
 RATE = T.DecimalType(6, 4)
 # In flight: every amount that fits MONEY, with 18 decimals; times a RATE the product is
 # decimal(38,22), which is exact.

@@ -13,12 +13,13 @@ from ledgerq.operators.rules import WRITE, Rule, validate
 
 @dataclass(frozen=True)
 class Limit:
-    """NOT NULL, VARCHAR(n) and NUMERIC(p, s) of one column."""
+    """NOT NULL, VARCHAR(n), NUMERIC(p, s) and INTEGER of one column."""
 
     column: str
     required: bool = False
     max_length: int | None = None
     precision: tuple[int, int] | None = None
+    integer: bool = False
 
 
 def limit_rules(limits: Sequence[Limit], columns: Mapping[str, Column] | None = None) -> list[Rule]:
@@ -43,9 +44,26 @@ def limit_rules(limits: Sequence[Limit], columns: Mapping[str, Column] | None =
             rules.append(
                 Rule(f"precision:{name}", too_large, f"{name} excede numeric({digits},{scale})", phase=WRITE)
             )
+        if limit.integer:
+            rules.append(
+                Rule(f"rango:{name}", F.abs(value.cast("long")) > 2**31 - 1, f"{name} excede integer", phase=WRITE)
+            )
     return rules
 
 
 def check_constraints(df: DataFrame, limits: Sequence[Limit]) -> DataFrame:
     """Add the reject columns for the first limit each row breaks; null where it breaks none."""
     return validate(df, limit_rules(limits))
+
+
+class LimitBroken(ValueError):
+    """Rows of a report that its table cannot hold."""
+
+
+def require(df: DataFrame, limits: Sequence[Limit]) -> DataFrame:
+    """``df``, or an error that names some rows and the limits they break. Looks at every row of ``df``."""
+    broken = check_constraints(df, limits).where(F.col("reject_code").isNotNull())
+    shown = broken.select(*df.columns, "reject_reason").limit(3).collect()
+    if shown:
+        raise LimitBroken("; ".join(f"{r['reject_reason']}: {tuple(r)[:2]}" for r in shown))
+    return df

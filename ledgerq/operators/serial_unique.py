@@ -7,10 +7,11 @@ outcome depends on arrival order, but only among accounts connected by shared ke
 1. Keys used by a single account decide nothing. Rows of accounts without a shared key all pass.
 2. The rest falls apart into connected groups, which are replayed in parallel, in order, with one
    account map in memory per group.
-3. A group above ``replay_rows`` rows is cut into time slices of at most that many rows. Each is
-   replayed from a table of the keys held when the slice before it ended, of which only the
-   accounts and keys of the slice are read. Exact at any size, and no task takes more rows than
-   that at once; slices follow one another, so a very large contested group takes long.
+3. A group above ``replay_rows`` rows is cut into time slices of exactly that many rows, the last one less. One
+   job replays slice i of all large groups side by side, so that ten groups take as many jobs as the largest of
+   them. What accounts hold is a table of the keys held at first and of what each slice changed, appended to and
+   never rewritten; a slice reads of it only its own accounts and keys. Exact at any size, and no task takes
+   more rows than a slice; slices of one group follow one another, so a very large contested group takes long.
 """
 
 from __future__ import annotations
@@ -18,16 +19,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerq.operators.components import components
-from ledgerq.operators.row_ranges import split_points
-from ledgerq.operators.upsert import merge_snapshot
 from ledgerq.sources.workspace import cut, fresh_path
 
 _ROWS = ("seq", "cuenta", "clave")
 _HELD = ("cuenta", "clave")
+SLICE = "_slice"
 
 
 def settle(
@@ -63,37 +64,63 @@ def _turned_away(arrivals: DataFrame, held: DataFrame | None, replay_rows: int)
     disputed = cut(arrivals.join(groups, "cuenta"), "disputed")
     start = None if held is None else cut(held.join(groups, "cuenta"), "held")
     out = fresh_path(arrivals.sparkSession, "turned-away")
-    large = disputed.groupBy("grupo").count().where(F.col("count") > replay_rows).select("grupo")
+    large = cut(disputed.groupBy("grupo").count().where(F.col("count") > replay_rows).select("grupo"), "large-groups")
     if not large.isEmpty():
-        large = cut(large, "large-groups")
-        of_large = None if start is None else start.join(large, "grupo", "left_semi").select(*_HELD)
-        _slices(disputed.join(large, "grupo", "left_semi").select(*_ROWS), of_large, replay_rows, out)
+        of_large = None if start is None else start.join(large, "grupo", "left_semi")
+        _slices(disputed.join(large, "grupo", "left_semi"), of_large, replay_rows, out)
         disputed = disputed.join(large, "grupo", "left_anti")
         start = None if start is None else start.join(large, "grupo", "left_anti")
-    replay(disputed, start).write.mode("append").parquet(out)
-    return arrivals.sparkSession.read.schema("seq long").parquet(out)
+    replay(disputed, start).write.parquet(f"{out}/{SLICE}=-1")
+    return arrivals.sparkSession.read.schema("seq long").parquet(out).select("seq")
+
+
+def in_slices(arrivals: DataFrame, replay_rows: int) -> DataFrame:
+    """The rows with ``_slice``: how many times ``replay_rows`` rows of their group came before them.
+
+    Rows are dealt in ranges of (group, seq), so that a large group spans many tasks; a row's rank is its place
+    among its group's rows in its range, and the group's rows in the ranges before. Only counts are put in order.
+    """
+    ordered = arrivals.select("grupo", *_ROWS).repartitionByRange("grupo", "seq").sortWithinPartitions("grupo", "seq")
+    row = F.monotonically_increasing_id()
+    placed = cut(ordered.withColumns({"_row": row, "_range": F.shiftright(row, 33)}), "ranked")
+    counts = placed.groupBy("grupo", "_range").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # A row per group and range: as many as there are groups and ranges together, at most.
+    before = F.sum("_n").over(Window.partitionBy("grupo").orderBy("_range")) - F.col("_n")
+    starts = cut(counts.select("grupo", "_range", "_first", before.alias("_before")), "ranges")
+    rank = F.col("_before") + F.col("_row") - F.col("_first")
+    return placed.join(starts, ["grupo", "_range"]).select(
+        "grupo", *_ROWS, F.floor(rank / replay_rows).cast("int").alias(SLICE)
+    )
 
 
 def _slices(arrivals: DataFrame, held: DataFrame | None, replay_rows: int, out: str) -> None:
-    """Replay large groups slice by slice; append the rows turned away to ``out``."""
-    arrivals = cut(arrivals, "large-rows")
-    points = split_points(arrivals, -(-arrivals.count() // replay_rows))
-    for low, high in zip([None, *points], [*points, None]):
-        part = arrivals
-        if low is not None:
-            part = part.where(F.col("seq") >= low)
-        if high is not None:
-            part = part.where(F.col("seq") < high)
-        near = None
-        if held is not None:
-            by_account = held.join(part.select("cuenta").distinct(), "cuenta", "left_semi")
-            by_key = held.join(part.select("clave").distinct(), "clave", "left_semi").select(*_HELD)
-            near = by_account.unionByName(by_key).distinct().withColumn("grupo", F.lit(0))
-        away = cut(replay(part.withColumn("grupo", F.lit(0)), near), "slice")
-        away.write.mode("append").parquet(out)
-        passed = part.join(away, "seq", "left_anti")
-        latest = cut(passed.groupBy("cuenta").agg(F.max_by("clave", "seq").alias("clave")), "latest")
-        held = latest if held is None else cut(merge_snapshot(held, latest, ["cuenta"]), "held")
+    """Replay large groups slice by slice; the rows turned away go to a folder of ``out`` per slice."""
+    spark = arrivals.sparkSession
+    rows, state = fresh_path(spark, "large-rows"), fresh_path(spark, "held")
+    in_slices(arrivals, replay_rows).write.partitionBy(SLICE).parquet(rows)
+    if held is not None:
+        held.select("grupo", *_HELD).write.parquet(f"{state}/{SLICE}=-1")
+    sliced = spark.read.parquet(rows)
+    last = sliced.agg(F.max(SLICE)).first()[0]
+    for i in range(last + 1):
+        part = sliced.where(F.col(SLICE) == i).drop(SLICE)
+        away = f"{out}/{SLICE}={i}"
+        near = _held_near(spark, state, part) if i or held is not None else None
+        replay(part, near).write.parquet(away)
+        if i < last:
+            passed = part.join(spark.read.schema("seq long").parquet(away), "seq", "left_anti")
+            latest = passed.groupBy("grupo", "cuenta").agg(F.max_by("clave", "seq").alias("clave"))
+            latest.write.parquet(f"{state}/{SLICE}={i}")
+
+
+def _held_near(spark: SparkSession, state: str, part: DataFrame) -> DataFrame:
+    """What the accounts of a slice hold, and those that hold one of its keys, as the slices before left it."""
+    schema = T.StructType([*part.select("grupo", *_HELD).schema, T.StructField(SLICE, T.IntegerType())])
+    held = spark.read.schema(schema).option("basePath", state).parquet(state)
+    # Accounts that ever held a key of the slice; whether they still do shows in their last change.
+    accounts = part.select("cuenta").union(held.join(part.select("clave").distinct(), "clave", "left_semi").select("cuenta"))
+    now = held.join(accounts.distinct(), "cuenta", "left_semi").groupBy("grupo", "cuenta")
+    return now.agg(F.max_by("clave", SLICE).alias("clave"))
 
 
 def replay(arrivals: DataFrame, held: DataFrame | None) -> DataFrame:

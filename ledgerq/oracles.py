@@ -102,11 +102,12 @@ statement AS (SELECT cuenta_id, cast(extract(year from fecha) AS integer) AS ani
   cast(sum(monto) AS decimal(18,2)) AS saldo_neto, count(*) AS cantidad_movimientos,
   count(*) FILTER (WHERE es_anomalia) AS cantidad_anomalias FROM mov_ok GROUP BY ALL)"""
 
-_COUNTERS = f"""{_TX}, {_INT}, {_MOV}, counters AS (
+_COUNTERS = f"""{_TX}, {_INT}, {_MOV}, {_serial(_NOTHING_HELD)}, counters AS (
   SELECT 'transacciones' AS trabajo, count(*) AS leidos, (SELECT count(*) FROM tx_written) AS escritos,
     cast(0 AS bigint) AS omitidos_lectura, count(code) AS omitidos_proceso,
     (SELECT count(*) FROM tx_dup) AS omitidos_escritura FROM tx
-  UNION ALL SELECT 'intereses', count(*), count(*) - count(code), 0, count(code), 0 FROM int_all
+  UNION ALL SELECT 'intereses', count(*), count(*) - count(code) - (SELECT count(*) FROM int_away), 0, count(code),
+    (SELECT count(*) FROM int_away) FROM int_all
   UNION ALL SELECT 'cuentas-anuales', count(*), count(*) - count(code), 0, count(code), 0 FROM mov),
 gate AS (SELECT *, leidos + omitidos_lectura AS intentados,
     omitidos_lectura + omitidos_proceso + omitidos_escritura AS omitidos FROM counters)"""
@@ -265,28 +266,29 @@ FROM (SELECT doc_id AS cuenta_id, CASE WHEN n_chars < 100 THEN 'nulo:fecha' WHEN
         _merged(_STATEMENT, ["cuenta_id", "anio"], "statement", "stored"),
     ),
     "statement_sample": _with(_MOV, "SELECT * FROM statement ORDER BY cuenta_id, anio LIMIT 10"),
-    "step_metrics": _with(_COUNTERS, "SELECT * FROM counters"),
+    "step_metrics": _with(_COUNTERS, "SELECT * FROM counters", True),
     "job_report": _with(
         _COUNTERS,
         "SELECT trabajo, leidos, escritos, omitidos, 'COMPLETED' AS estado, "
         "CASE WHEN omitidos * 100.0 / intentados > 20 THEN 'REVISION_REQUERIDA' ELSE 'COMPLETED' END AS salida FROM gate",
+        True,
     ),
     "quality_gate": _with(
         _COUNTERS,
         "SELECT trabajo, intentados, omitidos, "
         "cast(round(cast(omitidos * 100.0 AS double) / intentados, 4) AS decimal(9,4)) AS porcentaje_omision, "
         "CASE WHEN omitidos * 100.0 / intentados > 20 THEN 'REVISION_REQUERIDA' ELSE 'CALIDAD_OK' END AS decision FROM gate",
+        True,
     ),
     "skip_limit_check": _with(
         _COUNTERS,
         "SELECT trabajo, omitidos, cast(900 AS bigint) AS limite, omitidos > 900 AS limite_superado FROM gate",
+        True,
     ),
     "run_status": _with(
-        f"{_COUNTERS}, {_serial(_NOTHING_HELD)}, done AS (SELECT * REPLACE ("
-        "CASE WHEN trabajo = 'intereses' THEN (SELECT count(*) FROM int_away) ELSE omitidos_escritura END AS omitidos_escritura) FROM counters)",
-        "SELECT trabajo, 'COMPLETED' AS estado, CASE WHEN (omitidos_proceso + omitidos_escritura) * 100.0 / leidos > 20 "
-        "THEN 'REVISION_REQUERIDA' ELSE 'COMPLETED' END AS salida, leidos, "
-        "leidos - omitidos_proceso - omitidos_escritura AS escritos, omitidos_proceso, omitidos_escritura FROM done",
+        _COUNTERS,
+        "SELECT trabajo, 'COMPLETED' AS estado, CASE WHEN omitidos * 100.0 / intentados > 20 "
+        "THEN 'REVISION_REQUERIDA' ELSE 'COMPLETED' END AS salida, leidos, escritos, omitidos_proceso, omitidos_escritura FROM gate",
         True,
     ),
 }

@@ -73,10 +73,15 @@ def validate_interest(raw: DataFrame) -> DataFrame:
         Rule("saldo_vacio", F.col("_exacto").isNull() & is_blank(F.col("saldo")), "saldo vacio o nulo", named=True),
         Rule("saldo_no_numerico", ~is_decimal(saldo, F.col("_exacto")), "saldo no numerico ('%s')", saldo, named=True),
         Rule("saldo_negativo", F.col("_signo") < 0, "saldo negativo no permitido (%s)", saldo, named=True),
-        *limit_rules([x for x in INT_LIMITS if x.precision is None], {"nombre": F.col("nombre_ok")}),
+        *limit_rules(
+            [x for x in INT_LIMITS if x.precision is None],
+            {"nombre": F.col("nombre_ok"), "tipo": F.col("tipo_ok"), "edad": F.col("edad_ok")},
+        ),
+        # An amount is null when it does not fit.
         *(
-            Rule(f"precision:{c}", F.col(c).isNull(), f"{c} excede numeric(15,2)", phase=WRITE)
-            for c in ("saldo_inicial", "saldo_final")
+            Rule(f"precision:{x.column}", F.col(x.column).isNull(), "%s excede numeric(%d,%d)" % (x.column, *x.precision), phase=WRITE)
+            for x in INT_LIMITS
+            if x.precision is not None
         ),
     ]
     who = F.format_string("Cuenta %s: ", F.col("cuenta_id").cast("string"))

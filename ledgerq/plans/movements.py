@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerq.functions.dates import with_date
-from ledgerq.functions.numbers import MONEY, TOTAL, is_decimal, money, sign_of, wide_decimal
+from ledgerq.functions.numbers import MONEY, WIDE_TOTAL, is_decimal, money, sign_of, wide_decimal
 from ledgerq.functions.text import clean, fold_accents, is_blank
 from ledgerq.operators.constraints import limit_rules
 from ledgerq.operators.rules import CORRUPT, WRITE, Rule, accepted, rejected, validate
@@ -71,8 +71,8 @@ def validate_movements(raw: DataFrame) -> DataFrame:
         Rule("monto_cero", F.col("_signo") == 0, "movimiento con monto en cero, no se puede clasificar", named=True),
         Rule("precision:monto", F.col("monto_ok").isNull(), "monto excede numeric(15,2)", phase=WRITE),
         *limit_rules(
-            [x for x in MOV_LIMITS if x.column in ("cuenta_id", "descripcion")],
-            {"descripcion": F.col("descripcion_ok")},
+            [x for x in MOV_LIMITS if x.column != "monto"],
+            {"fecha": F.col("fecha_ok"), "descripcion": F.col("descripcion_ok")},
         ),
     ]
     who = F.format_string("Cuenta %s: ", F.col("cuenta_id").cast("string"))
@@ -96,12 +96,12 @@ def rejected_movements(validated: DataFrame) -> DataFrame:
     return rejected(validated, RAW)
 
 
-def annual_statement(movements: DataFrame) -> DataFrame:
-    """Totals per account and year: one hash aggregation, combined before its only shuffle."""
+def statement_totals(movements: DataFrame) -> DataFrame:
+    """Totals per account and year, as wide as they come: one hash aggregation, combined before its only shuffle."""
 
     def total(tipo: str | None = None) -> Column:
         value = F.col("monto") if tipo is None else F.when(F.col("tipo_movimiento") == tipo, F.col("monto"))
-        return F.coalesce(F.sum(value), F.lit(0)).cast(TOTAL)
+        return F.coalesce(F.sum(value), F.lit(0)).cast(WIDE_TOTAL)
 
     return (
         movements.groupBy("cuenta_id", F.year("fecha").alias("anio"))
@@ -118,6 +118,16 @@ def annual_statement(movements: DataFrame) -> DataFrame:
     )
 
 
+def as_statement(totals: DataFrame) -> DataFrame:
+    """Totals that fit the statement, with its types."""
+    return totals.select(*(F.col(f.name).cast(f.dataType) for f in STATEMENT_TABLE))
+
+
+def annual_statement(movements: DataFrame) -> DataFrame:
+    """The statement. A total that it cannot hold is an error; a run checks them first (``STATEMENT_LIMITS``)."""
+    return as_statement(statement_totals(movements))
+
+
 def upsert_statement(stored: DataFrame | None, statement: DataFrame) -> DataFrame:
     """Statements of this load replace stored ones of the same account and year."""
     return merge_snapshot(stored, statement, STATEMENT_KEY)

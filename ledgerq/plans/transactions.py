@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerq.functions.dates import with_date
-from ledgerq.functions.numbers import MONEY, TOTAL, is_decimal, money, sign_of, wide_decimal
+from ledgerq.functions.numbers import MONEY, TOTAL, WIDE_TOTAL, is_decimal, money, sign_of, wide_decimal
 from ledgerq.functions.text import clean, is_blank
 from ledgerq.operators.constraints import limit_rules
 from ledgerq.operators.dedup import first_arrivals, late_arrivals, repeated_keys
@@ -41,8 +41,10 @@ def validate_transactions(raw: DataFrame) -> DataFrame:
         }
     ).withColumn("es_anomalia", F.col("motivo_anomalia").isNotNull())
     who = F.format_string("Transaccion id=%s: ", F.col("id").cast("string"))
+    # The amount has a rule of its own, as it is null when it does not fit.
     limits = limit_rules(
-        [x for x in TX_LIMITS if x.column != "monto"], {"id_origen": F.col("id"), "tipo": F.col("tipo_ok")}
+        [x for x in TX_LIMITS if x.column != "monto"],
+        {"id_origen": F.col("id"), "fecha": F.col("fecha_ok"), "tipo": F.col("tipo_ok")},
     )
     # A blank never parses, so the blank tests only look at what did not.
     no_date, no_amount = F.col("fecha_ok").isNull(), F.col("_exacto").isNull()
@@ -111,7 +113,7 @@ def rejected_transactions(validated: DataFrame, repeated: DataFrame | None = Non
 
 
 def summarize_transactions(written: DataFrame, skipped: int) -> DataFrame:
-    """The report row of a published detail table; ``skipped`` comes from the step counters."""
+    """The report row of a published detail table, totals as wide as they come; ``skipped`` comes from the counters."""
     return written.agg(
         F.count(F.lit(1)).alias("total_procesadas"),
         F.count_if("es_anomalia").alias("total_anomalias"),
@@ -122,7 +124,7 @@ def summarize_transactions(written: DataFrame, skipped: int) -> DataFrame:
 
 
 def _total(tipo: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col("tipo") == tipo, F.col("monto"))), F.lit(0)).cast(TOTAL)
+    return F.coalesce(F.sum(F.when(F.col("tipo") == tipo, F.col("monto"))), F.lit(0)).cast(WIDE_TOTAL)
 
 
 def transaction_summary(validated: DataFrame) -> DataFrame:
@@ -139,8 +141,8 @@ def transaction_summary(validated: DataFrame) -> DataFrame:
         F.count_if(kept).alias("total_procesadas"),
         F.count_if(kept & F.col("es_anomalia")).alias("total_anomalias"),
         F.coalesce(F.sum(F.col("_n") - kept.cast("int")), F.lit(0)).alias("total_omitidas"),
-        _total("CREDITO").alias("monto_total_creditos"),
-        _total("DEBITO").alias("monto_total_debitos"),
+        _total("CREDITO").cast(TOTAL).alias("monto_total_creditos"),
+        _total("DEBITO").cast(TOTAL).alias("monto_total_debitos"),
     )
 
 

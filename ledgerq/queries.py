@@ -17,7 +17,7 @@ from ledgerq.operators.dedup import key_conflicts
 from ledgerq.operators.row_ranges import range_of, range_plan, split_points
 from ledgerq.operators.rules import CORRUPT, accepted
 from ledgerq.plans import interest, movements, profiles, runs, transactions
-from ledgerq.plans.metrics import stack, step_counters, with_gate, with_skip_limit, with_status
+from ledgerq.plans.metrics import less_turned_away, stack, step_counters, with_gate, with_skip_limit, with_status
 from ledgerq.schemas import INT_NATURAL_KEY, MOV_LIMITS, TX_INPUT
 from ledgerq.sources import derived
 from ledgerq.sources.delimited import scan, scan_ordered
@@ -51,7 +51,7 @@ def _counters(spark: SparkSession, sf: str) -> DataFrame:
     return stack(
         {
             "transacciones": transactions.transaction_metrics(_tx(spark, sf)),
-            "intereses": step_counters(_int(spark, sf)),
+            "intereses": less_turned_away(step_counters(_int(spark, sf)), interest.serial_verdicts(_int(spark, sf))),
             "cuentas-anuales": step_counters(_mov(spark, sf)),
         }
     )
@@ -180,6 +180,7 @@ def constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
         F.col("source").alias("tipo_movimiento"),
         (F.col("n_chars").cast("decimal(20,0)") * F.lit(10**9).cast("decimal(10,0)")).alias("monto"),
         F.col("text").alias("descripcion"),
+        (F.col("n_chars") > 1000).alias("es_anomalia"),
         F.col("lang").alias("motivo_anomalia"),
     )
     broken = check_constraints(offered, MOV_LIMITS).where(F.col("reject_code").isNotNull())
@@ -352,7 +353,7 @@ def run_status(spark: SparkSession, sf: str) -> DataFrame:
         "intereses": derived.raw_interest(spark, sf),
         "cuentas-anuales": derived.raw_movements(spark, sf),
     }
-    status = runs.run_all(spark, sources, fresh_path(spark, "runs"))
+    status = runs.run_all(spark, sources, fresh_path(spark, "runs"), config=RunConfig(interest_mode="serial"))
     return status.select(*status.columns[:1], "estado", "salida", "leidos", "escritos", "omitidos_proceso", "omitidos_escritura")
 
 

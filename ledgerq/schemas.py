@@ -45,17 +45,24 @@ INT_KEY = ("cuenta_id",)
 INT_NATURAL_KEY = ("nombre", "saldo_inicial", "edad", "tipo")
 STATEMENT_KEY = ("cuenta_id", "anio")
 
+# Declared limits, in the order in which they are checked.
 TX_LIMITS = (
     Limit("id_origen", required=True),
-    Limit("monto", precision=(15, 2)),
-    Limit("tipo", max_length=20),
+    Limit("fecha", required=True),
+    Limit("monto", required=True, precision=(15, 2)),
+    Limit("tipo", required=True, max_length=20),
+    Limit("es_anomalia", required=True),
     Limit("motivo_anomalia", max_length=200),
 )
 INT_LIMITS = (
     Limit("cuenta_id", required=True),
-    Limit("nombre", max_length=150),
-    Limit("saldo_inicial", precision=(15, 2)),
-    Limit("saldo_final", precision=(15, 2)),
+    Limit("nombre", required=True, max_length=150),
+    Limit("tipo", required=True, max_length=20),
+    Limit("edad", required=True),
+    Limit("saldo_inicial", required=True, precision=(15, 2)),
+    Limit("tasa_interes_mensual", required=True, precision=(6, 4)),
+    Limit("interes_calculado", required=True, precision=(15, 2)),
+    Limit("saldo_final", required=True, precision=(15, 2)),
 )
 MOV_LIMITS = (
     Limit("cuenta_id", required=True),
@@ -63,8 +70,20 @@ MOV_LIMITS = (
     Limit("tipo_movimiento", required=True, max_length=20),
     Limit("monto", required=True, precision=(15, 2)),
     Limit("descripcion", required=True, max_length=200),
+    Limit("es_anomalia", required=True),
     Limit("motivo_anomalia", max_length=200),
 )
+STATEMENT_LIMITS = (
+    Limit("cuenta_id", required=True),
+    Limit("anio", required=True),
+    *(Limit(f.name, required=True, precision=(18, 2)) for f in STATEMENT_TABLE if f.dataType == TOTAL),
+    Limit("cantidad_movimientos", required=True, integer=True),
+    Limit("cantidad_anomalias", required=True, integer=True),
+)
+SUMMARY_LIMITS = (
+    *(Limit(c, required=True, integer=True) for c in ("total_procesadas", "total_anomalias", "total_omitidas")),
+    *(Limit(c, required=True, precision=(18, 2)) for c in ("monto_total_creditos", "monto_total_debitos")),
+)
 
 # Fixed values of the domain.
 TX_TYPES = ("DEBITO", "CREDITO")

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerq.operators.components import components
+from ledgerq.operators.constraints import Limit, LimitBroken, check_constraints, require
 from ledgerq.operators.dedup import first_arrivals, key_conflicts, last_arrivals, late_arrivals, repeated_keys
 from ledgerq.operators.row_ranges import range_of, range_plan, split_points
-from ledgerq.operators.serial_unique import settle
+from ledgerq.operators import serial_unique
+from ledgerq.operators.serial_unique import in_slices, settle
 from ledgerq.operators.upsert import merge_snapshot
 
 
@@ -132,6 +134,38 @@ def test_serial_uniqueness_is_that_of_a_replay(spark, accounts, keys, with_store
     assert dict(map(tuple, got)) == replayed(rows, stored)
 
 
+def test_slices_are_exact_ranks_of_groups(spark):
+    """A third of the rows are one group, which spans several ranges."""
+    rng = random.Random(4)
+    rows = [(0 if i % 3 == 0 else rng.randrange(1, 9), seq, 7, "k") for i, seq in enumerate(rng.sample(range(10**6), 900))]
+    df = spark.createDataFrame(rows, "grupo long, seq long, cuenta long, clave string").repartition(6)
+    got = {r["seq"]: r["_slice"] for r in in_slices(df, 40).collect()}
+    by_group = {}
+    for g, seq, *_ in sorted(rows):
+        by_group.setdefault(g, []).append(seq)
+    assert got == {seq: i // 40 for g in by_group.values() for i, seq in enumerate(g)}
+
+
+def test_large_groups_are_replayed_side_by_side(spark, monkeypatch):
+    """Ten groups of up to five slices take five jobs, and one for the small groups."""
+    rng = random.Random(9)
+    rows = []
+    for group in range(10):
+        rows += [(10 * group + rng.randrange(6), f"g{group}-{rng.randrange(5)}") for _ in range(100 if group == 3 else 50)]
+    rows += [(500 + i, f"s{i // 2}") for i in range(30)]
+    rng.shuffle(rows)
+    rows = [(seq, *r) for seq, r in enumerate(rows)]
+    stored = [(10 * g, f"g{g}-1") for g in range(10)]
+    jobs = []
+    replay = serial_unique.replay
+    monkeypatch.setattr(serial_unique, "replay", lambda *a: jobs.append(1) or replay(*a))
+    df = spark.createDataFrame(rows, "seq long, cuenta long, nombre string")
+    held = spark.createDataFrame(stored, "cuenta long, nombre string")
+    got = settle(df, held, "cuenta", ["nombre"], 20).select("seq", "conserva").collect()
+    assert dict(map(tuple, got)) == replayed(rows, stored)
+    assert len(jobs) == 5 + 1
+
+
 def test_nothing_shared_means_nothing_turned_away(spark):
     df = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 2, "c")], "seq long, cuenta long, nombre string")
     assert settle(df, None, "cuenta", ["nombre"], 10).where(~F.col("conserva")).isEmpty()
@@ -148,3 +182,14 @@ def test_first_arrivals_aggregate_keys_only(spark):
     late = late_arrivals(df, ["k"], repeated).drop("_kept")
     assert sorted(map(tuple, first.unionByName(late).collect())) == sorted(rows)
     assert first.groupBy("k").count().where("count > 1").isEmpty()
+
+
+def test_every_kind_of_limit(spark):
+    limits = (Limit("a", required=True, max_length=3), Limit("m", required=True, precision=(5, 2)), Limit("n", integer=True))
+    rows = [("abc", "999.99", 2**31 - 1), (None, "1", 1), ("abcd", "1", 1), ("a", None, 1), ("a", "-1000", 1), ("a", "1", 2**31), ("a", "1", None)]
+    df = spark.createDataFrame(rows, "a string, m string, n long").withColumn("m", F.col("m").cast("decimal(38,2)")).coalesce(1)
+    codes = [r["reject_code"] for r in check_constraints(df, limits).collect()]
+    assert codes == [None, "nulo:a", "largo:a", "nulo:m", "precision:m", "rango:n", None]
+    assert require(df.limit(1), limits).count() == 1
+    with pytest.raises(LimitBroken, match="n excede integer"):
+        require(df.where("n > 2147483647"), limits)

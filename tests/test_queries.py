@@ -55,4 +55,5 @@ def test_known_gate_outcomes(spark):
     rows = {r["trabajo"]: r for r in QUERIES["quality_gate"](spark, MIDDLE).collect()}
     assert rows["transacciones"]["decision"] == rows["intereses"]["decision"] == "REVISION_REQUERIDA"
     assert rows["cuentas-anuales"]["decision"] == "CALIDAD_OK"
-    assert [round(float(rows[j]["porcentaje_omision"]), 1) for j in sorted(rows)] == [12.6, 60.7, 25.2]
+    # Of 1500 interest rows, 910 break a rule and 22 are turned away by the natural key.
+    assert [round(float(rows[j]["porcentaje_omision"]), 1) for j in sorted(rows)] == [12.6, 62.1, 25.2]
