@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +66,26 @@ def validate(df: DataFrame, rules: Sequence[Rule], subject: Column | None = None
     )
 
 
+def validated_where(
+    raw: DataFrame, validator: Callable[[DataFrame], DataFrame], *conditions: Column | str
+) -> DataFrame:
+    """The validated rows that meet all conditions; those on raw columns alone are met before the ladder.
+
+    The ladder's row counter keeps every later filter above it. A condition that ``raw`` can answer is put below,
+    where it reaches the scan; one on typed or reject columns stays above. Both mean the same, as a validator keeps
+    its raw columns as they are.
+    """
+    late = []
+    for condition in conditions:
+        try:
+            raw = raw.where(condition)
+        except AnalysisException as error:
+            if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+                raise
+            late.append(condition)
+    return reduce(DataFrame.where, late, validator(raw))
+
+
 def _pick(values: Sequence[str]) -> Column:
     """The value at the position of the broken rule, null when none broke."""
     return F.get(F.array(*(F.lit(v) for v in values)), F.col("_rule"))

@@ -211,6 +211,9 @@ FROM (SELECT doc_id AS cuenta_id, CASE WHEN n_chars < 100 THEN 'nulo:fecha' WHEN
         f"SELECT id AS seq, id, fecha, monto, tipo, {_REJECT}, {_TX_REASON} AS reject_reason FROM tx "
         "WHERE code IS NOT NULL UNION ALL SELECT * FROM tx_dup",
     ),
+    "tx_rejects_of_range": _with(
+        _TX, f"SELECT id, {_REJECT} FROM tx WHERE code IS NOT NULL AND id BETWEEN 1000 AND 9000"
+    ),
     "tx_summary": _with(
         _TX,
         "SELECT count(*) AS total_procesadas, count(*) FILTER (WHERE es_anomalia) AS total_anomalias, "
@@ -226,6 +229,12 @@ FROM (SELECT doc_id AS cuenta_id, CASE WHEN n_chars < 100 THEN 'nulo:fecha' WHEN
     ),
     "sink_overwrite": _with(_TX, "SELECT * FROM tx_written"),
     "incremental_load": _with(_TX, "SELECT * FROM tx_written"),
+    "incremental_unique": _with(
+        f"{_TX}, arrived AS (SELECT *, cast(id % 64 >= 32 AS integer) AS lote FROM tx), ranked AS (SELECT id, lote, code, "
+        "row_number() OVER (PARTITION BY code IS NULL, fecha_ok, m, t ORDER BY lote, id) AS rn FROM arrived)",
+        "SELECT id, lote, CASE WHEN code IS NOT NULL THEN 'process' WHEN rn > 1 THEN 'write' END AS reject_phase, "
+        "CASE WHEN code IS NOT NULL THEN code WHEN rn > 1 THEN 'clave_duplicada' END AS reject_code FROM ranked",
+    ),
     "int_calc": _with(_INT, "SELECT * FROM int_ok"),
     "int_rejects": _with(
         _INT,

@@ -16,6 +16,8 @@ from ledgerq.schemas import TX_INPUT, TX_KEY, TX_LIMITS, TX_TABLE, TX_TYPES, TX_
 from ledgerq.sources.delimited import malformed_rule
 
 RAW = TX_INPUT.names
+#: The natural key among the columns of validated rows.
+TYPED_KEY = tuple(f"{c}_ok" for c in TX_KEY)
 # Reason texts.
 BAD_TYPE = ("tipo de transaccion no reconocido ('", "')")
 NEGATIVE, ZERO = "monto negativo", "monto en cero"

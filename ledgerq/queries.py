@@ -15,7 +15,7 @@ from ledgerq.functions.text import clean, fold_accents, is_blank
 from ledgerq.operators.constraints import check_constraints
 from ledgerq.operators.dedup import key_conflicts
 from ledgerq.operators.row_ranges import range_of, range_plan, split_points
-from ledgerq.operators.rules import CORRUPT, accepted
+from ledgerq.operators.rules import CORRUPT, accepted, validated_where
 from ledgerq.plans import interest, movements, profiles, runs, transactions
 from ledgerq.plans.metrics import less_turned_away, stack, step_counters, with_gate, with_skip_limit, with_status
 from ledgerq.schemas import INT_NATURAL_KEY, MOV_LIMITS, TX_INPUT
@@ -23,7 +23,7 @@ from ledgerq.sources import derived
 from ledgerq.sources.delimited import scan, scan_ordered
 from ledgerq.sources.tables import replace_table
 from ledgerq.sources.workspace import fresh_path
-from ledgerq.streaming.incremental import load_new_files, loaded
+from ledgerq.streaming.incremental import UniqueKey, load_new_files, loaded
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANGES = 7
@@ -215,6 +215,14 @@ def tx_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return transactions.rejected_transactions(_tx(spark, sf))
 
 
+@query
+def tx_rejects_of_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected rows of a range of ids: the range reaches the scan, the verdict is made for its rows only."""
+    raw = derived.raw_transactions(spark, sf)
+    rows = validated_where(raw, transactions.validate_transactions, "id BETWEEN 1000 AND 9000", "reject_code IS NOT NULL")
+    return rows.select("id", "reject_phase", "reject_code")
+
+
 @query
 def tx_summary(spark: SparkSession, sf: str) -> DataFrame:
     return transactions.transaction_summary(_tx(spark, sf))
@@ -365,3 +373,18 @@ def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
         load_new_files(spark, source, TX_INPUT, transactions.validate_transactions, target, f"{target}-state")
     rows = loaded(spark, target).withColumn("seq", F.col("id"))
     return transactions.written_transactions(rows)
+
+
+@query
+def incremental_unique(spark: SparkSession, sf: str) -> DataFrame:
+    """Two arrivals of files in id order; the natural key holds over both, and a third call finds nothing new."""
+    source, target = fresh_path(spark, "arrivals"), fresh_path(spark, "unique")
+    raw = derived.raw_transactions(spark, sf).select(*TX_INPUT.names)
+    key = UniqueKey(transactions.TYPED_KEY, "clave_duplicada", transactions.DUPLICATE)
+    for part in (F.col("id") % 64 < 32, F.col("id") % 64 >= 32, F.lit(False)):
+        arrived = raw.where(part).repartitionByRange("id").sortWithinPartitions("id")
+        arrived.write.mode("append").option("header", True).option("escape", '"').csv(source)
+        load_new_files(
+            spark, source, TX_INPUT, transactions.validate_transactions, target, f"{target}-state", unique=key
+        )
+    return loaded(spark, target).select("id", F.col("lote").cast("int").alias("lote"), "reject_phase", "reject_code")

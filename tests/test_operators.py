@@ -11,7 +11,9 @@ from ledgerq.operators.dedup import first_arrivals, key_conflicts, last_arrivals
 from ledgerq.operators.row_ranges import range_of, range_plan, split_points
 from ledgerq.operators import serial_unique
 from ledgerq.operators.serial_unique import in_slices, settle
+from ledgerq.operators.rules import validated_where
 from ledgerq.operators.upsert import merge_snapshot
+from ledgerq.plans.transactions import validate_transactions
 
 
 def hot_rows(n, seed=1):
@@ -193,3 +195,19 @@ def test_every_kind_of_limit(spark):
     assert require(df.limit(1), limits).count() == 1
     with pytest.raises(LimitBroken, match="n excede integer"):
         require(df.where("n > 2147483647"), limits)
+
+
+def test_conditions_on_raw_columns_reach_the_scan(spark, tmp_path):
+    rows = [(i, f"2024-01-{1 + i % 40:02d}", str(i), "credito") for i in range(200)]
+    spark.createDataFrame(rows, "id long, fecha string, monto string, tipo string").write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw")).withColumn("seq", F.col("id"))
+    found = validated_where(raw, validate_transactions, "id = 5", F.col("reject_code").isNull(), "monto_ok < 100")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,5)" in plan.split("PushedFilters: [", 1)[1].split("]")[0]
+    assert [r["id"] for r in found.collect()] == [5]
+    conditions = ("id % 3 = 0", "reject_code = 'fecha_invalida'", "tipo = 'credito'")
+    got = validated_where(raw, validate_transactions, *conditions)
+    want = validate_transactions(raw).where(" AND ".join(conditions))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        validated_where(raw, validate_transactions, "nowhere = 1")

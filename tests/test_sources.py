@@ -4,12 +4,12 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from ledgerq.operators.rules import CORRUPT
-from ledgerq.plans.transactions import accepted_transactions, validate_transactions, written_transactions
+from ledgerq.plans.transactions import DUPLICATE, TYPED_KEY, accepted_transactions, validate_transactions, written_transactions
 from ledgerq.schemas import MOV_INPUT, TX_INPUT
 from ledgerq.sources.delimited import scan, scan_ordered
 from ledgerq.sources.tables import append_rows, replace_table
 from ledgerq.sources.workspace import runs_local
-from ledgerq.streaming.incremental import load_new_files, loaded
+from ledgerq.streaming.incremental import UniqueKey, load_new_files, loaded
 
 HEADER = "id,fecha,monto,tipo\n"
 
@@ -147,6 +147,32 @@ def test_incremental_load_takes_each_file_once(spark, tmp_path):
     assert [r["id_origen"] for r in written_transactions(rows).collect()] == [1]
 
 
+def test_a_natural_key_holds_over_all_batches(spark, tmp_path):
+    """A later file repeats keys of older ones: write rejects of its batch. A batch done again changes nothing."""
+    source, target, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    source.mkdir()
+    key = UniqueKey(TYPED_KEY, "clave_duplicada", DUPLICATE, buckets=8)
+
+    def load(name, *lines):
+        (source / name).write_text(HEADER + "\n".join(lines) + "\n")
+        load_new_files(spark, str(source), TX_INPUT, validate_transactions, target, str(state), unique=key)
+        return sorted((r["lote"], r["id"], r["reject_code"]) for r in loaded(spark, target).collect())
+
+    many = [f"{100 + i},2024-02-01,7,hot" for i in range(40)]
+    first = [(0, 1, None), (0, 2, "fecha_invalida"), (0, 3, "clave_duplicada")]
+    assert load("1.csv", "1,2024-01-01,5,credito", "2,bad,5,credito", "3,01/01/2024,5.00,CREDITO") == first
+    second = [(1, 4, "clave_duplicada"), (1, 5, None), (1, 100, None), *((1, 100 + i, "clave_duplicada") for i in range(1, 40))]
+    assert load("2.csv", "4,2024-01-01,5,Credito", "5,2024-01-02,5,x", *many) == first + second
+    reasons = loaded(spark, target).where("id in (3, 4)").orderBy("id").collect()
+    assert [r["reject_reason"].rsplit(" ", 1)[1] for r in reasons] == ["1", "1"]
+    # The stream forgets that it did the second batch, and does it again with what came since.
+    for name in ("1", ".1.crc"):
+        (state / "commits" / name).unlink()
+    third = [(2, 6, "clave_duplicada"), (2, 7, "clave_duplicada"), (2, 8, None)]
+    assert load("3.csv", "6,2024-01-02,5,x", "7,2024-02-01,7,hot", "8,2024-03-01,7,hot") == first + second + third
+    assert accepted_transactions(loaded(spark, target)).select("fecha", "monto", "tipo").distinct().count() == 4
+
+
 def test_a_batch_too_large_for_its_numbers_raises(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("ledgerq.streaming.incremental._BATCH_ROWS", 3)
     (tmp_path / "in").mkdir()
