@@ -177,6 +177,10 @@ ORACLES: dict[str, str] = {
     "range_split_rows": _with(
         _TX, f"SELECT id, cast(ntile({RANGES}) OVER (ORDER BY id) - 1 AS integer) AS particion FROM tx_raw"
     ),
+    "range_read": _with(
+        f"{_TX}, r AS (SELECT cast(ntile({RANGES}) OVER (ORDER BY id) - 1 AS integer) AS particion FROM tx_raw)",
+        "SELECT particion, count(*) AS filas FROM r WHERE particion BETWEEN 2 AND 4 GROUP BY ALL",
+    ),
     "date_normalize": _with(_TX, "SELECT id, fecha, fecha_ok, formato_fecha FROM tx_dated"),
     "date_format_counts": _with(
         _TX, "SELECT coalesce(formato_fecha, 'ninguno') AS formato, count(*) AS filas FROM tx_dated GROUP BY ALL"
@@ -228,6 +232,15 @@ FROM (SELECT doc_id AS cuenta_id, CASE WHEN n_chars < 100 THEN 'nulo:fecha' WHEN
         "SELECT w.*, r.particion FROM tx_written w JOIN r ON r.id = w.id_origen",
     ),
     "sink_overwrite": _with(_TX, "SELECT * FROM tx_written"),
+    "run_partitioned": _with(
+        f"{_COUNTERS}, r AS (SELECT id, cast(ntile(4) OVER (ORDER BY id) - 1 AS integer) AS particion FROM tx_raw)",
+        "SELECT particion, count(*) AS filas, 'COMPLETED' AS estado, "
+        "any_value(CASE WHEN g.omitidos * 100.0 / g.intentados > 20 THEN 'REVISION_REQUERIDA' ELSE 'COMPLETED' END) AS salida, "
+        "any_value(g.leidos) AS leidos, any_value(g.escritos) AS escritos, any_value(g.omitidos_proceso) AS omitidos_proceso, "
+        "any_value(g.omitidos_escritura) AS omitidos_escritura FROM tx_written w JOIN r ON r.id = w.id_origen "
+        "JOIN gate g ON g.trabajo = 'transacciones' GROUP BY particion",
+        True,
+    ),
     "incremental_load": _with(_TX, "SELECT * FROM tx_written"),
     "incremental_unique": _with(
         f"{_TX}, arrived AS (SELECT *, cast(id % 64 >= 32 AS integer) AS lote FROM tx), ranked AS (SELECT id, lote, code, "

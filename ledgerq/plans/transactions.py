@@ -10,7 +10,7 @@ from ledgerq.functions.numbers import MONEY, TOTAL, WIDE_TOTAL, is_decimal, mone
 from ledgerq.functions.text import clean, is_blank
 from ledgerq.operators.constraints import limit_rules
 from ledgerq.operators.dedup import first_arrivals, late_arrivals, repeated_keys
-from ledgerq.operators.row_ranges import range_of
+from ledgerq.operators.row_ranges import RANGE
 from ledgerq.operators.rules import CORRUPT, REJECT_COLUMNS, WRITE, Rule, accepted, rejected, validate
 from ledgerq.schemas import TX_INPUT, TX_KEY, TX_LIMITS, TX_TABLE, TX_TYPES, TX_UNKNOWN
 from ledgerq.sources.delimited import malformed_rule
@@ -83,10 +83,10 @@ def written_transactions(validated: DataFrame, repeated: DataFrame | None = None
     return kept.select(*TX_TABLE.names)
 
 
-def written_by_range(validated: DataFrame, points: list[int], repeated: DataFrame | None = None) -> DataFrame:
-    """The same detail table with the input range each row came from, for a layout by range."""
+def written_by_range(validated: DataFrame, part: Column, repeated: DataFrame | None = None) -> DataFrame:
+    """The same detail table with ``seq`` and the input range each row came from, for a layout by range."""
     kept = first_arrivals(accepted_transactions(validated), TX_KEY, repeated=repeated)
-    return kept.select(*TX_TABLE.names, range_of(points).alias("particion"))
+    return kept.select("seq", *TX_TABLE.names, part.alias(RANGE))
 
 
 def repeated_transaction_keys(validated: DataFrame) -> DataFrame:

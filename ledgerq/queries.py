@@ -14,7 +14,7 @@ from ledgerq.functions.numbers import is_decimal, money, wide_decimal
 from ledgerq.functions.text import clean, fold_accents, is_blank
 from ledgerq.operators.constraints import check_constraints
 from ledgerq.operators.dedup import key_conflicts
-from ledgerq.operators.row_ranges import range_of, range_plan, split_points
+from ledgerq.operators.row_ranges import RANGE, range_of, range_of_dense, range_plan, split_points, write_by_range
 from ledgerq.operators.rules import CORRUPT, accepted, validated_where
 from ledgerq.plans import interest, movements, profiles, runs, transactions
 from ledgerq.plans.metrics import less_turned_away, stack, step_counters, with_gate, with_skip_limit, with_status
@@ -128,6 +128,14 @@ def range_split_rows(spark: SparkSession, sf: str) -> DataFrame:
     return raw.select("id", range_of(split_points(raw, RANGES)).alias("particion"))
 
 
+@query
+def range_read(spark: SparkSession, sf: str) -> DataFrame:
+    """The numbered lines of a file laid out by range, of which three neighbouring ranges are read."""
+    lines = scan_ordered(spark, transactions_csv(spark, sf), TX_INPUT).drop(CORRUPT)
+    laid_out = write_by_range(lines.withColumn(RANGE, range_of_dense(lines.count(), RANGES)), fresh_path(spark, "ranges"))
+    return laid_out.where(F.col(RANGE).between(2, 4)).groupBy(RANGE).agg(F.count(F.lit(1)).alias("filas"))
+
+
 # Column rules
 
 
@@ -236,7 +244,7 @@ def tx_by_anomaly(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def tx_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     points = split_points(derived.raw_transactions(spark, sf), RunConfig().partitions)
-    return transactions.written_by_range(_tx(spark, sf), points)
+    return transactions.written_by_range(_tx(spark, sf), range_of(points)).drop("seq")
 
 
 @query
@@ -365,6 +373,17 @@ def run_status(spark: SparkSession, sf: str) -> DataFrame:
     return status.select(*status.columns[:1], "estado", "salida", "leidos", "escritos", "omitidos_proceso", "omitidos_escritura")
 
 
+@query
+def run_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """The partitioned load run for real: its ledger row, and the rows of its table by range."""
+    base = fresh_path(spark, "partitioned")
+    runs.run_transactions_partitioned(spark, derived.raw_transactions(spark, sf), base)
+    (row,) = runs.ledger(spark, base).collect()
+    layout = spark.read.parquet(row["tablas"]["transacciones_procesadas"])
+    shown = ("estado", "salida", "leidos", "escritos", "omitidos_proceso", "omitidos_escritura")
+    return layout.groupBy(RANGE).agg(F.count(F.lit(1)).alias("filas"), *(F.lit(row[c]).alias(c) for c in shown))
+
+
 @query
 def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
     """A stream over the files, run twice: the second run finds nothing new."""

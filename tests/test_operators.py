@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerq.operators.components import components
 from ledgerq.operators.constraints import Limit, LimitBroken, check_constraints, require
 from ledgerq.operators.dedup import first_arrivals, key_conflicts, last_arrivals, late_arrivals, repeated_keys
-from ledgerq.operators.row_ranges import range_of, range_plan, split_points
+from ledgerq.operators.row_ranges import RANGE, range_of, range_of_dense, range_plan, split_points, write_by_range
 from ledgerq.operators import serial_unique
 from ledgerq.operators.serial_unique import in_slices, settle
 from ledgerq.operators.rules import validated_where
@@ -211,3 +211,24 @@ def test_conditions_on_raw_columns_reach_the_scan(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
     with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
         validated_where(raw, validate_transactions, "nowhere = 1")
+
+
+@pytest.mark.parametrize("n, ranges", [(1, 1), (10, 3), (1000, 7), (57, 80), (20_000, 10_000)])
+def test_dense_ranges_are_those_of_the_plan(spark, n, ranges):
+    plan = {r["particion"]: (r["inicio"], r["fin"]) for r in range_plan(spark.range(n), ranges).collect()}
+    rows = spark.range(1, n + 1).select(F.col("id").alias("seq"), range_of_dense(n, ranges, "id").alias("p"))
+    got = rows.groupBy("p").agg(F.min("seq"), F.max("seq")).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == plan
+
+
+def test_a_layout_by_range_has_few_files_and_is_pruned(spark, tmp_path):
+    n, ranges = 6000, 300
+    df = spark.range(1, n + 1).select(F.col("id").alias("seq"), range_of_dense(n, ranges, "id").alias(RANGE), (F.col("id") * 2).alias("v"))
+    table = write_by_range(df.repartition(16), str(tmp_path / "t"))
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    assert ranges <= len(files) <= ranges + 16
+    some = table.where(F.col(RANGE).between(10, 12))
+    assert "PartitionFilters: [isnotnull(particion" in some._jdf.queryExecution().executedPlan().toString()
+    assert len(some.inputFiles()) == len(files) and some.count() == 60
+    read = {r[0] for r in some.select(F.input_file_name()).distinct().collect()}
+    assert len(read) <= 3 + 3
