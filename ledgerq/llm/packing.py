@@ -20,7 +20,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerq.llm.common import cut, mapped
@@ -36,16 +36,20 @@ class ChunkIds:
     """Ids of text chunks by a byte-level tokenizer that splits before each space.
 
     A text is cut before every single space that a word follows, where the tokenizer cuts in any case, so that
-    the ids of frequent chunks can be kept: ``limit`` of them, first come. New chunks of a batch are encoded in one call
-    and told apart by the bytes their ids stand for.
+    the ids of frequent chunks can be kept, first come, in up to ``room`` bytes. Chunks but a text's first are named
+    without the space they begin with. New chunks of a batch are encoded in one call and told apart by the
+    bytes their ids stand for.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    #: About what a dictionary entry takes beside the characters and ids: two objects and its share of the table.
+    ENTRY = 200
+
+    def __init__(self, path: str, room: int = 120 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.limit = limit
+        self.room = room
         self.kept: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -56,23 +60,28 @@ class ChunkIds:
     def chunks(text: str) -> list[str]:
         parts = text.split(" ")
         if not _odd.search(text):
-            return parts[:1] + [" " + p for p in parts[1:]]
+            return parts
         out = parts[:1]
         for p in parts[1:]:
             if not p or p[0].isspace():
                 out[-1] += " " + p
             else:
-                out.append(" " + p)
+                out.append(p)
         return out
 
+    def encode(self, text: str) -> np.ndarray:
+        # The batch call leaves out the places of the pieces, which nobody asks for here.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.encode(text).tobytes()
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit numbers."""
         cut_up = [self.chunks(t) for t in texts]
+        first = [chunks.pop(0) for chunks in cut_up]
         kept = self.kept
-        new = list({c for chunks in cut_up for c in chunks[1:] if c not in kept})
+        new = list(set().union(*cut_up).difference(kept))
         extra: dict[str, bytes] = {}
         at = 0
         while at < len(new):
@@ -81,18 +90,23 @@ class ChunkIds:
                 size += len(new[to])
                 to += 1
             part = new[at:to]
-            ids = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(c.encode("utf-8")) for c in part])) + 1
+            ids = self.encode(" " + " ".join(part))
+            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(c.encode("utf-8")) + 1 for c in part])) + 1
             raw, start = ids.tobytes(), 0
             for c, end in zip(part, ends.tolist(), strict=True):
-                (kept if len(kept) < self.limit else extra)[c] = raw[4 * start : 4 * end]
+                if self.room > 0:
+                    self.room -= self.ENTRY + len(c) + 4 * (end - start)
+                    kept[c] = raw[4 * start : 4 * end]
+                else:
+                    extra[c] = raw[4 * start : 4 * end]
                 start = end
             at = to
         if extra:
             return [
-                self.whole(c[0]) + b"".join([kept[x] if x in kept else extra[x] for x in c[1:]]) for c in cut_up
+                self.whole(f) + b"".join([kept[x] if x in kept else extra[x] for x in c])
+                for f, c in zip(first, cut_up, strict=True)
             ]
-        return [self.whole(c[0]) + b"".join(map(kept.__getitem__, c[1:])) for c in cut_up]
+        return [self.whole(f) + b"".join(map(kept.__getitem__, c)) for f, c in zip(first, cut_up, strict=True)]
 
 
 _by_path: dict[str, ChunkIds] = {}
@@ -256,10 +270,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: st
     counts = cut(pieces.groupBy("_task", "length").count(), "piece-counts")
     totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     # The ranks before a task's own: a window over one row per task and length.
-    counts.createOrReplaceTempView("piece_counts")
-    base = pieces.sparkSession.sql(
-        "select _task, length, sum(count) over (partition by length order by _task) - count as _base from piece_counts"
-    )
+    before = F.sum("count").over(Window.partitionBy("length").orderBy("_task")) - F.col("count")
+    base = counts.select("_task", "length", before.alias("_base"))
     return mapped(
         pieces.join(base, ["_task", "length"]), _place(slots(plan(totals))), f"{_PIECE}, sequence_id long, offset long"
     )
