@@ -372,7 +372,7 @@ def main_texts(
             )
 
     return mapped(
-        pages.select(F.col(key).alias("_id"), F.col(url).alias("_url"), F.col(html).alias("_html")),
+        pages.select(F.col(key).cast("long").alias("_id"), F.col(url).alias("_url"), F.col(html).alias("_html")),
         rows,
         "_id long, _url string, text string, n_chars long",
     ).withColumnsRenamed({"_id": key, "_url": url})

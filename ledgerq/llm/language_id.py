@@ -213,7 +213,7 @@ def predict(docs: DataFrame, trees: ContextTrees | None, key: str = "doc_id", te
 
     return mapped(
         docs.select(
-            F.col(key).alias("_id"),
+            F.col(key).cast("long").alias("_id"),
             (remainder(F.col(key), 3) == 1).alias("_out"),
             F.col(text).alias("_text"),
             _letters(F.col(text)).alias("_ok"),

@@ -248,7 +248,7 @@ def document_scores(
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     spark = docs.sparkSession
     rows = docs.select(
-        F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), (remainder(F.col(key), 7) == 2).alias("_held")
+        F.col(key).cast("long").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"), (remainder(F.col(key), 7) == 2).alias("_held")
     )
     counted = cut(
         mapped(rows.select("_text", "_held"), _count, "word binary, train long, held long")

@@ -248,7 +248,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     for each text that is linked with another one; texts that aren't listed are alone with their copies.
     """
     rows = docs.select(
-        F.col(key).alias("_id"),
+        F.col(key).cast("long").alias("_id"),
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
         _node(F.col(text)).alias("_node"),
     )
@@ -345,14 +345,17 @@ def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     Of rows equal in key and text one stays.
     """
-    numbered = cut(docs.withColumn("_row_number_", F.monotonically_increasing_id()), "numbered")
+    number = "_row_number_"
+    while number.lower() in (c.lower() for c in docs.columns):
+        number += "_"
+    numbered = cut(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
     _, groups = near_duplicates(numbered.select(key, text), key, text)
     named = (
         numbered.select(
-            _node(F.col(text)).alias("_node"), F.col(key).alias("_id"), "_row_number_"
+            _node(F.col(text)).alias("_node"), F.col(key).cast("long").alias("_id"), F.col(number).alias("_number")
         )
         .join(groups, "_node", "left")
-        .select(F.coalesce("_root", "_node").alias("_root"), F.struct(F.col("_id").isNull().alias("n"), "_id", "_row_number_").alias("_k"))
+        .select(F.coalesce("_root", "_node").alias("_root"), F.struct(F.col("_id").isNull().alias("n"), "_id", "_number").alias("_k"))
     )
-    stay = named.groupBy("_root").agg(F.min("_k").alias("_k")).select(F.col("_k._row_number_").alias("_row_number_"))
-    return numbered.join(stay, "_row_number_", "left_semi").select(*docs.columns)
+    stay = named.groupBy("_root").agg(F.min("_k").alias("_k")).select(F.col("_k._number").alias(number))
+    return numbered.join(stay, number, "left_semi").select(*docs.columns)

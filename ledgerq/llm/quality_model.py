@@ -131,7 +131,7 @@ def scores(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([batch["_id"], batch["_out"], pa.array(found, pa.float64())], ["_id", "_out", "_score"])
 
     return mapped(
-        docs.select(F.col(key).alias("_id"), (remainder(F.col(key), 3) == 1).alias("_out"), F.col(text).alias("_text")),
+        docs.select(F.col(key).cast("long").alias("_id"), (remainder(F.col(key), 3) == 1).alias("_out"), F.col(text).alias("_text")),
         rows,
         "_id long, _out boolean, _score double",
     ).select(

@@ -147,7 +147,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
             ids = [np.frombuffer(codec(path).encode(t.as_py()), "<u4").astype(np.int32) for t in batch["_text"]]
             yield pa.RecordBatch.from_arrays([batch["_id"], pa.array(ids, pa.list_(pa.int32()))], ["_id", "_ids"])
 
-    return mapped(docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")), rows, "_id long, _ids array<int>").toDF(key, "ids")
+    return mapped(docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text")), rows, "_id long, _ids array<int>").toDF(key, "ids")
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary: str | None = None) -> DataFrame:
@@ -159,7 +159,7 @@ def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary
             texts = [codec(path).decode(np.array(x.as_py() or [], np.int64)) for x in batch["_ids"]]
             yield pa.RecordBatch.from_arrays([batch["_id"], pa.array(texts, pa.string())], ["_id", "_text"])
 
-    return mapped(encoded.select(F.col(key).alias("_id"), F.col(ids).alias("_ids")), rows, "_id long, _text string").toDF(key, "text")
+    return mapped(encoded.select(F.col(key).cast("long").alias("_id"), F.col(ids).alias("_ids")), rows, "_id long, _text string").toDF(key, "text")
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -185,7 +185,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary
             )
 
     return mapped(
-        docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")),
+        docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text")),
         rows,
         "_id long, n_ids long, n_byte_ids long, ids_crc32 long, round_trip boolean",
     ).withColumnRenamed("_id", key)
