@@ -27,6 +27,8 @@ from ledgerq.llm.common import cut, mapped
 
 CAPACITY, END = 1024, 2
 TOKENIZER = "byte_bpe_50k.json"
+#: Bytes of chunk ids that a Python worker keeps; fewer cost time only.
+ROOM = 120 << 20
 
 #: A space that is not followed by a word: such chunks stay with the one before.
 _odd = re.compile(r" (?=\s|\Z)")
@@ -44,7 +46,7 @@ class ChunkIds:
     #: About what a dictionary entry takes beside the characters and ids: two objects and its share of the table.
     ENTRY = 200
 
-    def __init__(self, path: str, room: int = 120 << 20):
+    def __init__(self, path: str, room: int = ROOM):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -109,16 +111,16 @@ class ChunkIds:
         return [self.whole(f) + b"".join(map(kept.__getitem__, c)) for f, c in zip(first, cut_up, strict=True)]
 
 
-_by_path: dict[str, ChunkIds] = {}
+_by_path: dict[tuple[str, int], ChunkIds] = {}
 
 
-def chunk_ids(path: str) -> ChunkIds:
-    if path not in _by_path:
-        _by_path[path] = ChunkIds(path)
-    return _by_path[path]
+def chunk_ids(path: str, room: int) -> ChunkIds:
+    if (path, room) not in _by_path:
+        _by_path[path, room] = ChunkIds(path, room)
+    return _by_path[path, room]
 
 
-def _pieces(path: str):
+def _pieces(path: str, room: int):
     end = np.array([END], "<u4").tobytes()
 
     def rows(batches):
@@ -131,7 +133,7 @@ def _pieces(path: str):
             texts = batch["_text"].to_pylist()
             out = defaultdict(list)
             for at in range(0, len(keys), 64):
-                for key, ids in zip(keys[at : at + 64], chunk_ids(path).of(texts[at : at + 64]), strict=True):
+                for key, ids in zip(keys[at : at + 64], chunk_ids(path, room).of(texts[at : at + 64]), strict=True):
                     ids += end
                     n = len(ids) // 4
                     first = n % CAPACITY or CAPACITY
@@ -262,11 +264,13 @@ def _place(where: dict[int, np.ndarray]):
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:
+def pack(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, room: int = ROOM
+) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32, sequence_id, offset."""
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     rows = docs.select(F.col(key).cast("long").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    pieces = cut(mapped(rows, _pieces(path), f"{_PIECE}, _task int, _rank long"), "pieces")
+    pieces = cut(mapped(rows, _pieces(path, room), f"{_PIECE}, _task int, _rank long"), "pieces")
     counts = cut(pieces.groupBy("_task", "length").count(), "piece-counts")
     totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     # The ranks before a task's own: a window over one row per task and length.
