@@ -114,7 +114,7 @@ class ChunkIds:
 _by_path: dict[tuple[str, int], ChunkIds] = {}
 
 
-def chunk_ids(path: str, room: int) -> ChunkIds:
+def chunk_ids(path: str, room: int = ROOM) -> ChunkIds:
     if (path, room) not in _by_path:
         _by_path[path, room] = ChunkIds(path, room)
     return _by_path[path, room]
