@@ -13,7 +13,7 @@ all of them: after i words, of which j were w, the next is w with probability (P
 A word seen c times weighs c less ``DISCOUNT``; what is taken off is the escape's weight, so that it is as large
 as new words are frequent. Piece scores start from the vocabulary's own order (the n-th piece weighs 1/n) and are
 estimated by expectation-maximisation, forward and backward, over all distinct training words: ``ROUNDS`` rounds and a last one.
-Every byte is a piece and keeps a little weight, so any text has
+The arcs of each word are found once and written; a round runs over the arcs of many words at a time. Every byte is a piece and keeps a little weight, so any text has
 a probability above zero.
 
 Word counts come from all training texts. Words are looked up where the texts are, if they are among the ``FREQUENT`` most
@@ -32,6 +32,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,10 @@ FREQUENT, ROUNDS, DISCOUNT, LEAST_WEIGHT = 100_000, 4, 0.75, 0.01
 PRIOR = 1000.0
 #: Distinct words a task holds before it hands its counts on.
 HELD = 300_000
+#: Words up to this many bytes, space included, are estimated together, about ``BLOCK`` arcs at a time; longer ones one by one.
+SHORT, BLOCK = 32, 400_000
+#: A weight a byte that keeps the products of a short word's piece weights far from the ends of a double; it cancels out.
+BYTE_SCALE = 1000.0
 
 
 def pieces(path: str) -> list[bytes]:
@@ -116,6 +121,48 @@ def expect(root, scores: list[float], text: bytes, counts: list[float]) -> None:
         b[i] = sum_
 
 
+def arcs(root, text: bytes) -> list[int]:
+    """All pieces in a short word: number of the piece, start and end in one integer."""
+    found = []
+    for i in range(len(text)):
+        node = root
+        for j in range(i, len(text)):
+            node = node[1].get(text[j])
+            if node is None:
+                break
+            if node[0] >= 0:
+                found.append(node[0] << 12 | i << 6 | j + 1)
+    return found
+
+
+def expect_together(codes: np.ndarray, word: np.ndarray, length: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """What ``expect`` adds for short words, summed: ``codes`` are the arcs of ``word``, an index into ``length``.
+
+    ``weights`` are those of the pieces times ``BYTE_SCALE`` for each of their bytes. Arcs of one end and one length belong to
+    different words and are followed in one step; ends go up for the weight before a place, and down for that behind it.
+    """
+    order = np.argsort(((codes & 63) << 6 | (codes & 63) - (codes >> 6 & 63)).astype(np.int16), kind="stable")
+    codes, word = codes[order], word[order]
+    piece, start, end = codes >> 12, codes >> 6 & 63, codes & 63
+    weight = weights[piece]
+    steps = np.flatnonzero(np.concatenate([[True], (end[1:] != end[:-1]) | (start[1:] != start[:-1])]))
+    steps = [(lo, hi, start[lo], end[lo]) for lo, hi in zip(steps, (*steps[1:], len(codes)), strict=True)]
+    before, behind = np.zeros((SHORT + 1, len(length))), np.zeros((SHORT + 1, len(length)))
+    before[0] = 1.0
+    for lo, hi, i, j in steps:
+        at = word[lo:hi]
+        before[j, at] += before[i, at] * weight[lo:hi]
+    each = np.arange(len(length))
+    behind[length, each] = 1 / before[length, each]
+    share = np.empty(len(codes))
+    for lo, hi, i, j in reversed(steps):
+        at = word[lo:hi]
+        part = behind[j, at] * weight[lo:hi]
+        behind[i, at] += part
+        share[lo:hi] = part * before[i, at]
+    return np.bincount(piece, share, len(weights))
+
+
 def words(text: str | None) -> list[bytes]:
     """Runs of anything but the six white-space bytes, A-Z lower-cased."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -143,16 +190,52 @@ def _count(batches):
     yield from rows(counts[False], counts[True])
 
 
-def _expected(path: str, scores):
+def _arcs(path: str):
     def rows(batches):
-        root, weights = tree(path), scores.value.tolist()
-        counts = [0.0] * len(weights)
+        root = tree(path)
         for batch in batches:
+            short, long = [], []
             for word in batch["word"].to_pylist():
-                expect(root, weights, b" " + word, counts)
-        found = np.array(counts)
-        at = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(found[at])], ["piece", "n"])
+                is_long = len(word) >= SHORT
+                short.append([] if is_long else arcs(root, b" " + word))
+                long.append(word if is_long else None)
+            sizes = pc.add(pc.binary_length(batch["word"]), 1).cast(pa.int32())
+            yield pa.RecordBatch.from_arrays([sizes, pa.array(short, pa.list_(pa.int32())), pa.array(long, pa.binary())], ["size", "arcs", "long"])
+
+    return rows
+
+
+def _expected(path: str, scores):
+    def rows(batches):
+        counts, alone = np.zeros(len(scores.value)), None
+        lengths = np.array([len(p) for p in pieces(path)])
+        weights = np.exp(scores.value + lengths * math.log(BYTE_SCALE)) * (lengths < SHORT + 1)
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def add() -> None:
+            codes, per_word, length = (np.concatenate(c) for c in zip(*held, strict=True))
+            counts[:] += expect_together(codes, np.repeat(np.arange(len(length)), per_word), length, weights)
+            held.clear()
+
+        for batch in batches:
+            short = batch.filter(pc.is_null(batch["long"]))
+            if short.num_rows:
+                held.append((short["arcs"].flatten().to_numpy(), pc.list_value_length(short["arcs"]).to_numpy(), short["size"].to_numpy()))
+                size += len(held[-1][0])
+            if size > BLOCK:
+                add()
+                size = 0
+            for word in batch["long"].drop_null().to_pylist():
+                if alone is None:
+                    root, plain, alone = tree(path), scores.value.tolist(), [0.0] * len(counts)
+                expect(root, plain, b" " + word, alone)
+        if held:
+            add()
+        if alone is not None:
+            counts += alone
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], ["piece", "n"])
 
     return rows
 
@@ -263,7 +346,7 @@ def document_scores(
     size, types = len(pieces(path)), sums[1]
     scores, stop = normal(1.0 / np.arange(1, size + 1) * max(types, 1), types / 4)
     if types:
-        train = counted.where("train > 0").select("word")
+        train = cut(mapped(counted.where("train > 0").select("word"), _arcs(path), "size int, arcs array<int>, long binary"), "arcs")
         for _ in range(rounds + 1):
             found, sent = np.zeros(size), spark.sparkContext.broadcast(scores)
             # One row per piece of the vocabulary at most.

@@ -181,6 +181,25 @@ def test_lattice_sums_all_segmentations():
     assert np.allclose(counts, np.array(expected) / total)
 
 
+def test_words_are_estimated_together_as_one_by_one():
+    path = public_tokenizers.path(lattice_lm.VOCABULARY)
+    root, names = lattice_lm.tree(path), lattice_lm.pieces(path)
+    rng = np.random.default_rng(3)
+    words = [b" " + bytes(rng.choice(list(b"abehinrst\xc3\xa9#"), rng.integers(1, 32)).tolist()) for _ in range(400)] + [b" \x00" + b"\xff" * 30, b" a"]
+    scores = rng.normal(-12, 5, len(names)).clip(-25, -1)
+    want = [0.0] * len(names)
+    for word in words:
+        lattice_lm.expect(root, scores.tolist(), word, want)
+    found = [lattice_lm.arcs(root, w) for w in words]
+    got = lattice_lm.expect_together(
+        np.array([c for f in found for c in f], np.int32),
+        np.repeat(np.arange(len(words)), [len(f) for f in found]),
+        np.array([len(w) for w in words]),
+        np.exp(scores + np.array([min(len(n), 40) for n in names]) * math.log(lattice_lm.BYTE_SCALE)),
+    )
+    assert np.allclose(got, want, rtol=1e-9, atol=1e-12)
+
+
 def test_every_round_sees_all_training_words(spark):
     # More than 20,000 distinct words, dealt out to texts of 500.
     parts = ["ba", "ke", "lo", "mi", "nu", "ra", "se", "ti", "vo", "zu", "qx", "jy", "wh"]
