@@ -8,7 +8,9 @@ so that an entry is sensitive to order as well as to content. Texts that share a
 Two texts are linked when, of all labelled shingles of both, at least ``SIMILARITY`` are matched in order:
 ``m / (n1 + n2 - m)``, where m is the length of the best in-order alignment. It is found by a banded alignment over
 the places of equal shingles that lie on the diagonals the threshold allows, and is exact. Entries agree with probability of about
-0.8 ** 3 at the threshold, so a pair just above it is missed in all 14 with probability 5e-5.
+0.8 ** 3 at the threshold, so a pair just above it is missed in all 14 with probability 5e-5 (8e-4 for 4 against 5 shingles).
+Texts of at most ``FEW`` shingles also meet by exact keys, the hashes of their sequence and of it without each one shingle, so
+that none of their pairs is missed.
 
 Copies of one text are one node. In each bucket the members are aligned with its most connected one; those out of the
 pivot's reach are compared among themselves, in blocks of bounded size, and those in between also with the
@@ -33,8 +35,9 @@ from ledgerq.llm.graph import components
 SHINGLE, KEPT, ENTRIES, SIMILARITY = 5, 3, 14, 0.8
 #: Rows and shingles of one side of a comparison block, about.
 BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
-#: Strays that agree in fewer entries are not aligned (at 0.8, about 7 of 14 agree).
-AGREE = 2
+#: Texts of at most this many shingles also share a key if they are equal but for one shingle. Two of them that
+#: reach 0.8 differ in no more.
+FEW = 8
 #: A long text's shingles are hashed for this many shingle positions at a time.
 SPAN = 1 << 18
 
@@ -72,8 +75,21 @@ def labelled(s: np.ndarray) -> np.ndarray:
     return np.where(np.isin(index, order[~same]), s, out)
 
 
+def sequence_keys(x: np.ndarray) -> np.ndarray:
+    """Hashes of a few labelled shingles in their order, and of what is left without each of them."""
+    n = len(x)
+    less = np.array([[c for c in range(n) if c != r] for r in range(n)], np.intp).reshape(n, n - 1)
+    found = []
+    for rows in (x[None, :], x[less])[: 1 + (n > 1)]:
+        keys = np.full(len(rows), rows.shape[1], np.uint64)
+        for column in rows.T:
+            keys = mix64(keys * _BASE + column)
+        found.append(keys)
+    return np.concatenate(found)
+
+
 def sketch(s: np.ndarray) -> np.ndarray:
-    """One entry per hash function; empty for no shingles."""
+    """One entry per hash function, then the exact keys of a text of few shingles; empty for no shingles."""
     if not len(s):
         return np.empty(0, np.int64)
     x = labelled(s)
@@ -95,6 +111,8 @@ def sketch(s: np.ndarray) -> np.ndarray:
     out = _SEEDS.copy()
     for i in range(k):
         out = mix64(out * _BASE + chosen[:, i])
+    if len(x) <= FEW:
+        out = np.concatenate([out, sequence_keys(x)])
     return out.view(np.int64)
 
 
@@ -188,22 +206,28 @@ def _verify(batches):
 
 def _digests(batches):
     for batch in batches:
-        found = [(labelled(shingles(t)) >> np.uint64(32)).astype(np.uint32).view(np.int32) for t in batch["_text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["_node"], pa.array(found, pa.list_(pa.int32()))], ["_node", "_x"])
+        found = [labelled(shingles(t)).view(np.int64) for t in batch["_text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["_node"], pa.array(found, pa.list_(pa.int64()))], ["_node", "_x"])
 
 
 def _strays(key, group):
     """Links of a comparison block between texts of which at least one is a stray, as few as connect the same texts.
 
     A pair is looked at only in the bucket where it first agrees: a bucket in which it isn't to be compared proves
-    that it needn't be. Here shingles are told apart by the upper half of their hash.
+    that it needn't be. The shingles a text shares with each other one are counted in one step; only pairs that share
+    as many as a link takes are aligned.
     """
     entry, _, i, j = (k.as_py() for k in key)
     group = group.combine_chunks()
     part = np.array(group["_part"])
     kind = np.array(group["_kind"])  # 0: the pivot's, 1: out of reach, 2: in between
-    s = np.stack(group["_s"].to_numpy(zero_copy_only=False))
-    arrays = group["_x"]
+    s = np.stack([x[:ENTRIES] for x in group["_s"].to_numpy(zero_copy_only=False)])
+    arrays = group["_x"].combine_chunks()
+    size = np.diff(arrays.offsets.to_numpy())
+    starts = np.concatenate([[0], np.cumsum(size)])
+    labels = arrays.flatten().to_numpy().view(np.uint64)
+    distinct, code = np.unique(labels, return_inverse=True)
+    mine = np.zeros(len(distinct), np.int32)
     made: dict[int, Shingled] = {}
     root = np.arange(len(part))
     left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
@@ -211,13 +235,23 @@ def _strays(key, group):
     for x in left:
         others = right[right > x] if i == j else right
         others = others[(kind[others] > 0) & (kind[x] > 0) | (kind[others] + kind[x] == 2)]
+        others = others[(root[others] != root[x]) & (np.minimum(size[others], size[x]) >= SIMILARITY * np.maximum(size[others], size[x]) - 1e-9)]
+        if not len(others):
+            continue
         agree = s[others] == s[x]
-        for y in others[(agree.sum(axis=1) >= AGREE) & (agree.argmax(axis=1) == entry)]:
+        others = others[np.where(agree.any(axis=1), agree.argmax(axis=1), ENTRIES) == entry]
+        if not len(others):
+            continue
+        mine[code[starts[x] : starts[x + 1]]] = 1
+        places = np.concatenate([code[starts[y] : starts[y + 1]] for y in others])
+        shared = np.add.reduceat(mine[places], np.concatenate([[0], np.cumsum(size[others])[:-1]]))
+        mine[code[starts[x] : starts[x + 1]]] = 0
+        for y in others[shared >= SIMILARITY / (1 + SIMILARITY) * (size[others] + size[x]) - 1e-6]:
             if root[x] == root[y]:
                 continue
             for v in (x, y):
                 if v not in made:
-                    made[v] = Shingled.of(arrays[int(v)].values.to_numpy().view(np.uint32))
+                    made[v] = Shingled.of(labels[starts[v] : starts[v + 1]])
             if compare(made[x], made[y])[0]:
                 a.append(x)
                 b.append(y)
@@ -257,7 +291,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         sketched.groupBy("_node").agg(F.min("_id").alias("_id"), F.first("_n").alias("_n"), F.first("_s").alias("_s")),
         "texts",
     )
-    entries = texts.select("_node", F.posexplode("_s").alias("_j", "_e"))
+    entries = texts.select("_node", F.posexplode("_s").alias("_j", "_e")).withColumn("_j", F.least("_j", F.lit(ENTRIES)))
     sizes = entries.groupBy("_j", "_e").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
     members = cut(entries.join(sizes, ["_j", "_e"]), "members")
     # The pivot of a bucket is the text with the most company in all its buckets: what copies were made from has more
@@ -309,7 +343,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     digests = mapped(
         whole.join(placed.select("_node").distinct(), "_node", "left_semi").select("_node", "_text"),
         _digests,
-        "_node binary, _x array<int>",
+        "_node binary, _x array<long>",
     ).join(texts.select("_node", "_s"), "_node")
     more = (
         placed.join(blocks, ["_j", "_e"])

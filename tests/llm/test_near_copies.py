@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -129,6 +130,39 @@ def test_near_texts_against_all_pairs(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == docs.columns
 
 
+def test_no_pair_of_short_texts_is_missed(spark):
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    texts = []
+    for _ in range(1500):
+        base = [word() for _ in range(int(rng.integers(8, 12)))]
+        texts += [" ".join(base), " ".join([*base, word()]) if rng.random() < 0.5 else " ".join([word(), *base])]
+    got = {r.doc_id: r.class_id for r in order_minhash.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_strays_that_share_one_entry_are_compared():
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(1, 1 << 62, 20).tolist(), rng.integers(1, 1 << 62, 20).tolist()
+    texts = [x, [*x[:19], y[0]], y, x[:5]]
+    entries = [[7, *range(1, order_minhash.ENTRIES)], *([7, *range(100 * k, 100 * k + order_minhash.ENTRIES - 1)] for k in (1, 2, 3))]
+    group = pa.table(
+        {
+            "_node": pa.array([b"a", b"b", b"c", b"d"]),
+            "_kind": [1] * 4,
+            "_part": [0] * 4,
+            "_s": pa.array(entries, pa.list_(pa.int64())),
+            "_x": pa.array(texts, pa.list_(pa.int64())),
+        }
+    )
+    links = order_minhash._strays(tuple(map(pa.scalar, (0, 7, 0, 0))), group)
+    assert links.to_pylist() == [{"a": b"a", "b": b"b"}]
+    # Equal upper halves of hashes are no agreement.
+    near = [v ^ 1 for v in x]
+    group = group.set_column(4, "_x", pa.array([x, near, y, x[:5]], pa.list_(pa.int64())))
+    assert order_minhash._strays(tuple(map(pa.scalar, (0, 7, 0, 0))), group).num_rows == 0
+
+
 def test_near_texts_of_odd_rows(spark):
     docs = spark.createDataFrame(
         [(5, "a b c d e f g", *[None] * 4), (5, "a b c d e f g", *[None] * 4), (None, "a b c d e f g", *[None] * 4), (None, None, *[None] * 4)], DOCS
