@@ -8,7 +8,9 @@ smoothed log counts from labelled pages (``html_pages`` unless others are given)
 
 Scripts, styles, forms' controls and the like are no text at any marginal. Character references are decoded, white space in a
 block becomes one space, blocks follow in page order, one line each; a line break element is white space. A tag cut off by
-the end of the page is dropped, as browsers do. Null and empty pages have an empty text; elements nest to any depth.
+the end of the page is dropped, as browsers do; a quote in a tag counts only where a value starts and if it is closed.
+Parsing takes time in proportion to the page, whatever its markup. Rows with repeated or null keys are extracted each by itself, an
+empty table gives no rows, and columns other than the key, the address and the page are not looked at. Null and empty pages have an empty text; elements nest to any depth.
 A head without an end tag ends at the first text or start tag that it can't hold; self-closed svg and math elements are empty.
 """
 
@@ -72,13 +74,15 @@ _BAD_WORDS = re.compile(
     r"newsletter|subscribe|signup|login|search|form|header|topbar|toolbar|pagination|pager|tags?|meta|byline|copyright|legal|hidden)(?![a-z])"
 )
 _GOOD_WORDS = re.compile(r"(?<![a-z])(?:article|content|post|entry|story|main|body|text|blog|prose)(?![a-z])")
-_markup = re.compile(r"<(?:!--(.*?)(?:--!?>|\Z)|([/]?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([!?/][^>]*)>)", re.S)
-_cut_off = re.compile(r"<[a-zA-Z/!?][^>]*\Z", re.S)
+_name = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_comment_end = re.compile(r"--!?>")
+_value_or_end = re.compile(r"[>=]")
+_blank = re.compile(r"[ \t\n\r\f]*")
+_unquoted = re.compile(r"[^\s>]*")
 _attribute = re.compile(r"(?:^|[\s/\"'])(class|id|role|data-y|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?(?=[\s/>]|$)", re.I)
 _quoted = re.compile(r"\"[^\"]*\"|'[^']*'")
-_slash_in_value = re.compile(r"=\s*[^\s\"'][^\s]*\Z")
 _stop = re.compile(r"[.!?…,;:]")
-_space = re.compile(r"[ \t\n\r\f\v\u0085   -     　]+")
+_space = re.compile(r"[ \t\n\r\f\v\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 class Node:
@@ -110,18 +114,47 @@ def _attributes(source: str) -> tuple[str, int | None]:
 
 def _self_closed(attributes: str) -> bool:
     """Whether a start tag ends with a slash that isn't the end of an unquoted value."""
-    return attributes.endswith("/") and not _slash_in_value.search(_quoted.sub('""', attributes))
+    if not attributes.endswith("/"):
+        return False
+    *before, last = _quoted.sub('""', attributes).rsplit(None, 1)
+    name, equals, value = last.partition("=")
+    if equals:
+        return value.startswith('"')
+    return not (before and before[0].endswith("="))
+
+
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """The place behind the tag whose name ends at ``at``; -1 if the page ends first.
+
+    Quotes count only where a value starts. One that the page never closes (``last``: its last place) is an ordinary character.
+    """
+    while found := _value_or_end.search(page, at):
+        at = found.end()
+        if found.group() == ">":
+            return at
+        at = _blank.match(page, at).end()
+        quote = page[at : at + 1]
+        if quote in last and last[quote] > at:
+            at = page.index(quote, at + 1) + 1
+        else:
+            at = _unquoted.match(page, at).end()
+    return -1
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block elements in page order and the blocks of text: (node, raw text)."""
     nodes = [Node(-1, "page", "none", 0)]
     stack: list[tuple[str, int]] = [("#page", 0)]  # open elements: (name, node they belong to; -1: no text)
+    opened: dict[str, list[int]] = {}  # depths of the open elements of a name
+    walls: list[int] = [0]  # depths of the open block elements
     blocks: list[tuple[int, list[str]]] = []
     fresh = True  # the next text starts a block
     in_link = 0
-    cut = _cut_off.search(page, max(page.rfind("<"), 0)) if "<" in page else None
-    end = cut.start() if cut else len(page)
+    last_quote = {quote: page.rfind(quote) for quote in "\"'"}
+
+    def depth_of(*names: str) -> int:
+        """The depth of the innermost open element of these names; 0: none."""
+        return max(opened[n][-1] if opened.get(n) else 0 for n in names)
 
     def text(piece: str) -> None:
         nonlocal fresh
@@ -144,66 +177,62 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         nonlocal fresh, in_link
         while len(stack) > depth:
             name, _ = stack.pop()
-            fresh |= name in _BLOCK
+            if name in opened:
+                opened[name].pop()
+            if name in _BLOCK:
+                walls.pop()
+                fresh = True
             in_link -= name == "a"
 
     at = 0
-    while at < end:
-        found = _markup.search(page, at, end)
-        if not found:
-            text(page[at:end])
+    while at < len(page):
+        start = page.find("<", at)
+        if start < 0:
+            text(page[at:])
             break
-        if found.start() > at:
-            text(page[at : found.start()])
-        at = found.end()
-        _, slash, name, attributes, _ = found.groups()
-        if not name:
+        text(page[at:start])
+        found = _name.match(page, start)
+        if not found:
+            if page.startswith("<!--", start):
+                stop = _comment_end.search(page, start + 2)
+                at = stop.end() if stop else len(page)
+            elif page[start + 1 : start + 2] in ("!", "?", "/"):
+                at = page.find(">", start) + 1 or len(page)
+            else:
+                text("<")
+                at = start + 1
             continue
-        name = name.lower()
+        slash, name = found.groups()
+        at = _tag_end(page, found.end(), last_quote)
+        if at < 0:
+            break
+        attributes, name = page[found.end() : at - 1], name.lower()
         if slash:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    close(depth)
-                    break
-                # A stray end tag of an inline element doesn't reach out of its block.
-                if name not in _BLOCK and stack[depth][0] in _BLOCK:
-                    break
+            # A stray end tag of an inline element doesn't reach out of its block.
+            depth = depth_of(name)
+            if depth and (name in _BLOCK or depth > walls[-1]):
+                close(depth)
             continue
-        if name in ("html", "body") and any(n == name for n, _ in stack):
+        if name in ("html", "body") and depth_of(name):
             continue
-        if name == "head" and any(n not in ("#page", "html") for n, _ in stack):
+        if name == "head" and len(stack) > 1 + (depth_of("html") > 0):
             continue
         if stack[-1][0] == "head" and name not in _HEAD:
             close(len(stack) - 1)
-        elif name == "body":
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "head":
-                    close(depth)
-                    break
+        elif name == "body" and depth_of("head"):
+            close(depth_of("head"))
         # In foreign content a slash closes any element.
-        if _self_closed(attributes) and (name in _FOREIGN or any(n in _FOREIGN for n, _ in stack)):
+        if _self_closed(attributes) and (name in _FOREIGN or depth_of(*_FOREIGN)):
             continue
-        if name in _ENDS_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "p":
-                    close(depth)
-                    break
-                if stack[depth][0] in _BLOCK:
-                    break
+        if name in _ENDS_P and stack[walls[-1]][0] == "p":
+            close(walls[-1])
         for group, bounds in _IMPLIED:
-            if name in group:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] in group:
-                        close(depth)
-                        break
-                    if stack[depth][0] in bounds:
-                        break
+            if name in group and depth_of(*group) > depth_of(*bounds):
+                close(depth_of(*group))
         if name == "a" and in_link:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "a":
-                    stack.pop(depth)
-                    in_link -= 1
-                    break
+            depth = opened["a"].pop()
+            stack[depth] = ("#closed", stack[depth][1])
+            in_link -= 1
         owner = stack[-1][1]
         if name in _BLOCK:
             fresh = True
@@ -219,8 +248,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if name in _NO_TEXT:
             owner = -1
         if name in _RAW:
-            stop = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at, end)
-            at = stop.start() if stop else end
+            stop = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
+            at = stop.start() if stop else len(page)
+        opened.setdefault(name, []).append(len(stack))
+        if name in _BLOCK:
+            walls.append(len(stack))
         stack.append((name, owner))
         in_link += name == "a"
     return nodes, [(owner, "".join(parts)) for owner, parts in blocks]

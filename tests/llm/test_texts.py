@@ -1,6 +1,7 @@
 """Classifiers, language identification, scoring and rules against brute force, held-out accuracy and odd input."""
 
 import math
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -328,3 +329,38 @@ def test_open_heads_and_self_closed_elements_hide_no_text(spark):
     # Here the slash belongs to the value, as in browsers, and on other elements it means nothing.
     assert html_extract.parse("<p><svg width=1/>hidden</svg>Seen.</p>")[1] == [(1, "Seen.")]
     assert html_extract.parse("<div/>Seen.")[1] == [(1, "Seen.")]
+
+
+def test_quotes_outside_of_values_hide_no_text():
+    def lines(page):
+        return [raw for _, raw in html_extract.parse(page)[1]]
+
+    assert lines("<p it's>One.</p><p>Two isn't lost.</p>") == ["One.", "Two isn't lost."]
+    assert lines('<p class="x>One.</p><p>Two.</p>') == ["One.", "Two."]
+    assert lines("<p title='a > b' class=c>One.</p>") == ["One."]
+    assert lines('<p title = "a > b"x=y>One.</p><br/><p a=>Two.') == ["One.", "Two."]
+    assert lines("<!--><p>One.</p><!-- <p>no</p> --><?x y?>Two 1 < 2 </ z>") == ["One.", "Two 1 < 2 "]
+    assert lines("<p>One.</p><p class='a' b") == ["One."]
+    assert lines("<p>A<a href=1>b<a href=2>c</a>d</a>e</p>") == ["Abcde"]
+    assert lines("<p><i>a<div>b</i>c</div>") == ["a", "bc"]
+    # A slash at the end of an unquoted value belongs to the value.
+    assert lines("<p><svg class=a/>no</svg>x<svg class='a'/>y<svg a = b/><b/>no</svg>z") == ["xyz"]
+
+
+def test_broken_pages_take_time_in_proportion():
+    n = 60_000
+    start = time.perf_counter()
+    for page in (
+        "<a " * n,
+        "<b x='" * n,
+        "<b x=\"'" * n,
+        "<div>" * n + "</p></i>" * n,
+        "<i><div>" + "<b>" * n + "</i>" * n,
+        "<a href=1>" * n,
+        "<li><p>" * n,
+        "<!--" * n,
+        "<p " + "a=" * n + "/>",
+        "<svg>" + "<g/>" * n,
+    ):
+        html_extract.parse(page)
+    assert time.perf_counter() - start < 20
