@@ -6,10 +6,12 @@ share of bad texts; a text's posterior probability of being good then decides, i
 There are at most 3 ** rules vote patterns, so the estimation runs over a small table of pattern counts. It counts
 the texts that don't fail outright, as those that do (too few words, mostly repeated) are decided already.
 
-It starts from "bad if any rule says bad". Priors, in proportion to the number of texts so that they weigh the same
-at any size, say that a good text rarely breaks a rule and a bad text breaks some.
+Rules overlap (symbols, words that hold some and few letters, say), so that the estimation can tell a rule that others bear
+out from one that stands alone. It starts from "the more rules say bad, the likelier bad". The prior of each estimate weighs as
+much as ``PRIOR`` texts, whatever their number.
 
-Null texts count as empty: no word, failed. An empty table gives no rows.
+Null texts count as empty: no word, failed. Rows with repeated or null keys are judged each by itself, texts of any length
+as a whole; a posterior of exactly one half is good. An empty table gives no rows. Columns other than key and text aren't looked at.
 """
 
 from __future__ import annotations
@@ -24,12 +26,12 @@ from pyspark.sql import functions as F
 from ledgerq.llm.common import cut, mapped
 
 LEAST_WORDS, MOST_REPEATED_PCT = 50, 50
-ROUNDS = 40
+ROUNDS, PRIOR = 300, 2.0
 _spaces = {i: None for i in (0x20, *range(0x09, 0x0E))}
 _symbols = re.compile(r"[#*$%&|<>]+")
 _word = re.compile(r"[^\x20\x09-\x0D]+")
 _letter = re.compile(r"[^\W\d_]")
-_ending = (".", "!", "?", "…", '"', "”", "»", ":", ";")
+_letters = re.compile(r"[^\W\d_]+")
 
 #: (name, measure, good up to, bad from): between the two a rule abstains.
 RULES = (
@@ -40,6 +42,8 @@ RULES = (
     ("no_letters", "letterless_rate", 0.1, 0.3),
     ("capitals", "capital_rate", 0.1, 0.4),
     ("exclamations", "exclaim_rate", 0.05, 0.25),
+    ("words_with_symbols", "symbol_word_rate", 0.02, 0.1),
+    ("few_letters", "other_rate", 0.1, 0.2),
 )
 NAMES = [r[0] for r in RULES]
 
@@ -82,6 +86,8 @@ def measures(text: str) -> tuple[list[int], dict[str, float]]:
         "letterless_rate": sum(not _letter.search(w) for w in words) * rate,
         "capital_rate": sum(len(w) > 1 and w.isupper() for w in words) * rate,
         "exclaim_rate": text.count("!") * rate,
+        "symbol_word_rate": sum(_symbols.search(w) is not None for w in words) * rate if base[2] else 0.0,
+        "other_rate": 1 - sum(map(len, _letters.findall(text))) / max(base[1], 1) if n else 0.0,
     }
 
 
@@ -116,17 +122,16 @@ def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tup
     """(posterior of good by pattern, accuracies: a row per rule of P(good | good), P(bad | bad))."""
     v = digits(codes)
     good, bad = v == 1, v == 2
-    post = np.where(bad.any(axis=1), 0.05, 0.99)
-    n = counts.sum() + 1
+    post = np.where(bad.any(axis=1), 0.3 ** bad.sum(axis=1), 0.95)
     accuracy = np.zeros((len(RULES), 2))
     for _ in range(rounds):
         w, u = counts * post, counts * (1 - post)
-        accuracy[:, 0] = (w @ good + 0.998 * n) / (w @ (good | bad) + n)
-        accuracy[:, 1] = (u @ bad + 0.01 * 0.3 * n) / (u @ (good | bad) + 0.01 * n)
-        share = np.clip((w.sum() + 0.09 * n) / (counts.sum() + 0.1 * n), 0.05, 0.99)
+        accuracy[:, 0] = (w @ good + 0.9 * PRIOR) / (w @ (good | bad) + PRIOR)
+        accuracy[:, 1] = (u @ bad + 0.5 * PRIOR) / (u @ (good | bad) + PRIOR)
+        share = (w.sum() + 0.9 * PRIOR) / (counts.sum() + PRIOR)
         odds = np.log(share / (1 - share)) + good @ np.log(accuracy[:, 0] / (1 - accuracy[:, 1]))
         odds += bad @ np.log((1 - accuracy[:, 0]) / accuracy[:, 1])
-        post = 1 / (1 + np.exp(-odds))
+        post = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
     return post, accuracy
 
 

@@ -268,6 +268,51 @@ def test_rules_find_what_labels_mark(spark):
     assert sum(r.kept == (r.quality == 1) for r in rows) / len(rows) > 0.97
 
 
+def planted_votes():
+    rng = np.random.default_rng(1)
+    wanted = np.array([[0.97, 0.8], [0.95, 0.7], [0.98, 0.6], [0.9, 0.75], [0.96, 0.5], [0.93, 0.65], [0.99, 0.4], [0.95, 0.7], [0.9, 0.6]])
+    is_good = rng.random(40_000) < 0.9
+    code = np.zeros(len(is_good), int)
+    for sure_good, sure_bad in wanted[::-1]:
+        right = rng.random(len(code)) < np.where(is_good, sure_good, sure_bad)
+        code = code * 3 + np.where(rng.random(len(code)) < 0.3, 0, np.where(right == is_good, 1, 2))
+    return wanted, is_good, code
+
+
+def test_accuracies_of_planted_votes_are_found():
+    wanted, is_good, code = planted_votes()
+    patterns, counts = np.unique(code, return_counts=True)
+    post, accuracy = quality_rules.estimate(patterns, counts.astype(float))
+    assert np.abs(accuracy - wanted).max() < 0.05
+    kept, bad = post[np.searchsorted(patterns, code)] >= 0.5, (quality_rules.digits(code) == 2).sum(axis=1)
+    assert (kept == is_good).mean() > 0.97 > 0.8 > ((bad == 0) == is_good).mean()
+    assert (kept & (bad == 1)).any() and not kept[bad > 4].any()
+
+
+def test_estimate_is_plain_expectation_maximisation():
+    code = planted_votes()[2][:300]
+    patterns, counts = np.unique(code, return_counts=True)
+    got, accuracy = quality_rules.estimate(patterns, counts.astype(float), rounds=5)
+    votes = [[int(c) // 3**r % 3 for r in range(len(quality_rules.RULES))] for c in code]
+    post = [0.3 ** v.count(2) if 2 in v else 0.95 for v in votes]
+    for _ in range(5):
+        right = []
+        for r in range(len(quality_rules.RULES)):
+            said = [(p, v[r]) for p, v in zip(post, votes, strict=True) if v[r]]
+            a = (sum(p for p, x in said if x == 1) + 1.8) / (sum(p for p, _ in said) + 2)
+            b = (sum(1 - p for p, x in said if x == 2) + 1.0) / (sum(1 - p for p, _ in said) + 2)
+            right.append((a, b))
+        share = (sum(post) + 1.8) / (len(post) + 2)
+        for i, v in enumerate(votes):
+            yes, no = share, 1 - share
+            for x, (a, b) in zip(v, right, strict=True):
+                if x:
+                    yes *= a if x == 1 else 1 - a
+                    no *= b if x == 2 else 1 - b
+            post[i] = yes / (yes + no)
+    assert np.allclose(accuracy, right) and np.allclose(got[np.searchsorted(patterns, code)], post)
+
+
 def test_rules_on_odd_rows(spark, odd, none):
     rows = quality_rules.judge(odd).collect()
     assert len(rows) == len(ODD) and all(r.base_failed for r in rows if r.doc_id in (1, 2, 3, 5))
