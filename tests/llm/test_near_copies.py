@@ -360,6 +360,31 @@ def test_archives_of_odd_rows(spark, tmp_path):
     assert warc.sizes(warc.read(spark, empty)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [8, warc.BITS])
+def test_archives_with_more_repeats_than_room(spark, bits):
+    pages = table(spark, SMALL, "pages")
+    pages = pages.unionByName(pages.where("page_id % 3 = 0").withColumn("page_id", F.col("page_id") + 100_000))
+    columns = ["page_id", "record_type", "refers_to", "payload_digest", "payload"]
+    plain = Counter(map(tuple, warc.resolve(pages).select(*columns).collect()))
+    assert any(r[1] == "revisit" for r in plain)
+    assert Counter(map(tuple, warc.resolve(pages, room=0, bits=bits).select(*columns).collect())) == plain
+
+
+def test_only_headers_are_shuffled(spark):
+    plan = warc.resolve(table(spark, SMALL, "pages"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_long_payloads_have_files_of_their_own(spark, tmp_path):
+    texts = {1: "a" * (5 << 20), 2: "b" * (5 << 20), 3: "c" * (200 << 10), 4: "d" * 500, 5: "a" * (5 << 20)}
+    path = str(tmp_path / "archive")
+    warc.write(warc.resolve(spark.createDataFrame(list(texts.items()), "page_id long, html string").withColumn("url", F.lit("u")).coalesce(1)), path)
+    assert {f.name: len(list(f.glob("part-*"))) for f in (tmp_path / "archive").iterdir()} == {"size-0": 1, "size-1": 1, "size-2": 3}
+    records = warc.read(spark, path).collect()
+    assert {r.page_id: bytes(r.payload).decode() for r in records} == texts | {5: ""}
+    assert {r.page_id: r.payload_bytes for r in warc.sizes(warc.read(spark, path)).collect()} == {i: len(t) for i, t in texts.items()}
+
+
 def test_cut_off_archives_are_found_out():
     record = b"WARC/1.1\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     assert [body for _, body in warc.parse(record * 2)] == [b"hello"] * 2
