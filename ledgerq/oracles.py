@@ -255,6 +255,7 @@ FROM (SELECT doc_id AS cuenta_id, CASE WHEN n_chars < 100 THEN 'nulo:fecha' WHEN
         "FROM int_all WHERE code IS NOT NULL",
     ),
     "int_upsert_latest": _with(f"{_INT}, {_STORED}", _merged(_ACCOUNT, ["cuenta_id"], "int_latest", "stored")),
+    "int_upsert_bucketed": _with(f"{_INT}, {_STORED}", _merged(_ACCOUNT, ["cuenta_id"], "int_latest", "stored")),
     "int_upsert_serial": _with(f"{_INT}, {_serial(_NOTHING_HELD)}", "SELECT * FROM int_serial", True),
     "int_upsert_serial_stored": _with(
         f"{_INT}, {_STORED}, {_serial(_STORED_HELD)}", _merged(_ACCOUNT, ["cuenta_id"], "int_serial", "stored"), True

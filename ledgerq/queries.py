@@ -18,11 +18,11 @@ from ledgerq.operators.row_ranges import RANGE, range_of, range_of_dense, range_
 from ledgerq.operators.rules import CORRUPT, accepted, validated_where
 from ledgerq.plans import interest, movements, profiles, runs, transactions
 from ledgerq.plans.metrics import less_turned_away, stack, step_counters, with_gate, with_skip_limit, with_status
-from ledgerq.schemas import INT_NATURAL_KEY, MOV_LIMITS, TX_INPUT
-from ledgerq.sources import derived
+from ledgerq.schemas import INT_KEY, INT_NATURAL_KEY, MOV_LIMITS, TX_INPUT
+from ledgerq.sources import buckets, derived
 from ledgerq.sources.delimited import scan, scan_ordered
 from ledgerq.sources.tables import replace_table
-from ledgerq.sources.workspace import fresh_path
+from ledgerq.sources.workspace import cut, fresh_path
 from ledgerq.streaming.incremental import UniqueKey, load_new_files, loaded
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -274,6 +274,13 @@ def int_upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
     return interest.latest_accounts(_int(spark, sf), derived.stored_accounts(spark, sf))
 
 
+@query
+def int_upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_path(spark, "accounts")
+    buckets.merge(None, cut(derived.stored_accounts(spark, sf), "stored"), INT_KEY, f"{path}/1")
+    return buckets.merge(f"{path}/1", cut(interest.latest_accounts(_int(spark, sf)), "incoming"), INT_KEY, f"{path}/2")
+
+
 @query
 def int_upsert_serial(spark: SparkSession, sf: str) -> DataFrame:
     return interest.serial_accounts(interest.serial_verdicts(_int(spark, sf)))

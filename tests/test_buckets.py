@@ -1,0 +1,80 @@
+"""Bucketed snapshots against a dictionary, what a merge leaves alone, and its plan."""
+
+import random
+from pathlib import Path
+
+import pytest
+
+from ledgerq.sources import buckets
+from ledgerq.sources.workspace import cut
+
+KINDS = "id long, year int, value string"
+KEYS = ["id", "year"]
+
+
+def frame(spark, rows):
+    return cut(spark.createDataFrame([(*k, v) for k, v in rows.items()], KINDS), "incoming")
+
+
+def contents(df):
+    got = [((r.id, r.year), r.value) for r in df.collect()]
+    assert len(got) == len(dict(got))
+    return dict(got)
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_merges_equal_a_dictionary(spark, tmp_path, monkeypatch, threshold):
+    monkeypatch.setattr(buckets, "COMPACT", 2)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        chance, want, last = random.Random(5), {}, None
+        for n, size in enumerate([0, 40, 3, 0, 1, 25, 3]):
+            new = {(chance.randrange(30), chance.randrange(2)): f"{n}-{i}" for i in range(size)}
+            want |= new
+            path = str(tmp_path / str(n))
+            assert contents(buckets.merge(last, frame(spark, new), KEYS, path, buckets=5)) == want
+            last = path
+            assert contents(buckets.read(spark, path, frame(spark, {}).schema)) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_merge_writes_only_the_buckets_it_touches(spark, tmp_path):
+    first, second = str(tmp_path / "1"), str(tmp_path / "2")
+    buckets.merge(None, frame(spark, {(i, 0): "a" for i in range(200)}), KEYS, first, buckets=16)
+    buckets.merge(first, frame(spark, {(7, 0): "b"}), KEYS, second, buckets=99)
+    before, after = buckets.manifest(spark, first), buckets.manifest(spark, second)
+    assert before.buckets == after.buckets == 16
+    changed = [b for b in after.folders if after.folders[b] != before.folders[b]]
+    assert len(changed) == 1 and after.folders[changed[0]][1] == 1
+    assert [p.name for p in (Path(second) / "data").glob("_bucket=*")] == [f"_bucket={changed[0]}"]
+
+
+def test_merges_of_a_bucket_are_compacted(spark, tmp_path):
+    last = None
+    for n in range(buckets.COMPACT + 2):
+        path = str(tmp_path / str(n))
+        buckets.merge(last, frame(spark, {(n, 0): "a"}), KEYS, path, buckets=1)
+        last = path
+        folder, merges = buckets.manifest(spark, path).folders[0]
+        assert merges == n % buckets.COMPACT
+        files = len(list(Path(folder).glob("part-*")))
+        assert files == 1 if merges == 0 else files <= 1 + merges
+
+
+def test_a_plain_table_is_dealt_into_buckets_once(spark, tmp_path):
+    plain, path = str(tmp_path / "plain"), str(tmp_path / "1")
+    spark.createDataFrame([(1, 0, "a"), (2, 0, "a"), (None, 0, "n")], KINDS).write.parquet(plain)
+    assert buckets.manifest(spark, plain) is None
+    got = contents(buckets.merge(plain, frame(spark, {(2, 0): "b"}), KEYS, path))
+    assert got == {(1, 0): "a", (2, 0): "b", (None, 0): "n"}
+
+
+def test_stored_rows_are_not_shuffled_for_few_keys(spark, tmp_path):
+    path = str(tmp_path / "1")
+    new = frame(spark, {(i, 0): "a" for i in range(50)})
+    buckets.merge(None, new, KEYS, path, buckets=4)
+    folders = [f for f, _ in buckets.manifest(spark, path).folders.values()]
+    plan = buckets._untouched(spark, folders, new.schema, new, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
