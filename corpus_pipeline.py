@@ -9,9 +9,13 @@ from ledgerq.llm.common import cut, prepare, table
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is determined; null texts and texts without a letter go."""
+    """Documents in one of the learned languages, whichever of those that resemble each other.
+
+    Null texts and texts without a letter go, and texts whose best language codes them no shorter than its letters
+    alone: those in no learned language, and those that mix several.
+    """
     prepare(spark)
-    return language_id.keep_identified(docs, language_id.learn(docs), least=0.0)
+    return language_id.keep_identified(docs, language_id.learn(docs), least=0.0, by_context=True)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

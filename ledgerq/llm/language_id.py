@@ -10,7 +10,9 @@ Contexts are learned from a bounded hash sample: about ``SAMPLE`` texts of each
 ``CONTEXTS`` most frequent contexts are held, which bounds what tasks are sent.
 
 A text that is null or has no letter is ``und`` with score 0, and so is any text if there is nothing to learn from.
-Ties go to the first language by name.
+Ties go to the first language by name. The score compares the languages only with each other. Whether a text is in any of
+them, ``keep_identified`` asks the language's own letters: a text that its contexts do not code shorter is in none, or
+in several at once.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ UNDETERMINED = "und"
 LEAST_SCORE = 0.5
 #: Bytes of a text worked on at a time.
 SPAN = 1 << 19
+#: The share of its bits that a code must save to count as shorter; below it is rounding.
+ROUNDING = 1e-6
 
 
 def _grams(batches):
@@ -114,6 +118,12 @@ class ContextTrees:
             self.bits.append(bits.astype(np.float32))
             self.escapes.append(escape.astype(np.float32))
             numbers, shorter_bits = strings, bits
+        #: By byte: bits without a context, by language.
+        self.alone = np.where((self.letter > 0)[:, None], self.bits[0][self.letter], self.escapes[0][0] + 8.0).astype(np.float64)
+
+    def letters_length(self, data: bytes) -> np.ndarray:
+        """Bits of the whole text by language if each byte is coded without its context."""
+        return np.bincount(np.frombuffer(data, np.uint8), minlength=256) @ self.alone
 
     def code_length(self, data: bytes) -> np.ndarray:
         """Bits of the whole text by language."""
@@ -187,11 +197,27 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 def decide(trees: ContextTrees | None, text: str | None, letters: bool | None) -> tuple[str, float]:
     if trees is None or not letters:
         return UNDETERMINED, 0.0
-    bits = trees.code_length(text.encode("utf-8", "surrogatepass"))
+    return _decided(trees, trees.code_length(text.encode("utf-8", "surrogatepass")))
+
+
+def _decided(trees: ContextTrees, bits: np.ndarray) -> tuple[str, float]:
     best = int(np.argmin(bits))
     return trees.langs[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
 
 
+def identified(trees: ContextTrees | None, text: str | None, letters: bool | None, least: float, by_context: bool) -> bool:
+    """Whether a language has at least the given score and, with ``by_context``, codes the text shorter than its letters do."""
+    if trees is None or not letters:
+        return False
+    data = text.encode("utf-8", "surrogatepass")
+    bits = trees.code_length(data)
+    lang, score = _decided(trees, bits)
+    if lang == UNDETERMINED or score < least:
+        return False
+    best = trees.langs.index(lang)
+    return not by_context or bool(bits[best] < trees.letters_length(data)[best] * (1 - ROUNDING))
+
+
 def _letters(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
@@ -223,17 +249,22 @@ def predict(docs: DataFrame, trees: ContextTrees | None, key: str = "doc_id", te
     ).toDF(key, "held_out", "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, trees: ContextTrees | None, text: str = "text", least: float = LEAST_SCORE) -> DataFrame:
-    """The rows whose language is determined with at least the given score, with all their columns."""
+def keep_identified(
+    docs: DataFrame, trees: ContextTrees | None, text: str = "text", least: float = LEAST_SCORE, by_context: bool = False
+) -> DataFrame:
+    """The rows whose language is determined with at least the given score, with all their columns.
+
+    With ``by_context`` only those whose language codes them shorter by its contexts than by its letters alone.
+    """
     model = docs.sparkSession.sparkContext.broadcast(trees)
     at = docs.columns.index(text)
 
     def rows(batches):
         for batch in batches:
-            keep = []
-            for t, ok in zip(batch.column(at), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                lang, score = decide(model.value, t.as_py(), ok)
-                keep.append(lang != UNDETERMINED and score >= least)
+            keep = [
+                identified(model.value, t.as_py(), ok, least, by_context)
+                for t, ok in zip(batch.column(at), batch.column(batch.num_columns - 1).to_pylist(), strict=True)
+            ]
             yield batch.select(range(batch.num_columns - 1)).filter(pa.array(keep, pa.bool_()))
 
     return docs.select("*", _letters(F.col(text))).mapInArrow(rows, docs.schema)

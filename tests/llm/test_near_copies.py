@@ -409,6 +409,25 @@ def test_texts_that_languages_share_stay_in_the_pipeline(spark):
     assert corpus_pipeline.STAGES[0][1](spark, docs, SMALL).count() == 30
 
 
+def test_texts_in_no_learned_language_leave_the_pipeline(spark):
+    rng = np.random.default_rng(5)
+    words = {
+        "de": "der Zug fährt über die Brücke und hält nicht am alten Bahnhof weil dort schon lange niemand wartet".split(),
+        "en": "the train goes over this bridge without stopping at any of those old stations where nobody waits".split(),
+    }
+    texts = {i: " ".join(rng.choice(words[("de", "en")[i % 2]], 30)) for i in range(60)}
+    foreign = {
+        100: "поезд идёт по мосту и не останавливается на старой станции",
+        101: "поезд",
+        102: " ".join("".join(rng.choice(list("adeghinorstuw"), 9)) for _ in range(30)),
+        103: "tr" * 200,
+    }
+    rows = [(i, t, ("de", "en")[i % 2] if i < 100 else None, None, None, None) for i, t in (texts | foreign).items()]
+    docs = spark.createDataFrame([*rows, (200, "over this bridge", None, None, None, None), (201, "am Bahnhof", None, None, None, None)], DOCS)
+    kept = corpus_pipeline.STAGES[0][1](spark, docs, SMALL)
+    assert {r.doc_id for r in kept.collect()} == {*texts, 200, 201}
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, None, None, None, "z"), (2, "", "en", "s", 0, "z"), (3, "12", "en", "s", 2, "z")], DOCS)
     for frame in (docs, docs.limit(0)):
